@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievemark.plans.tables import table
 
-from . import bpe, fingerprint, lang_crf, secrets, url_filter
+from . import bpe, fingerprint, lang_crf, minhash, packing, secrets, sql, toxicity, url_filter
 
 #: The tokenizer files' package is looked up at run time; another rank file can be passed to the operators.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -46,6 +46,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in kinds], F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).drop("text")
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = fingerprint.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(
@@ -55,9 +61,18 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_byte_bpe, op3_language, op4_secrets, op8_fingerprint)}
+    return {f.__name__: f for f in (op1_url_filter, op2_byte_bpe, op3_language, op4_secrets, op5_toxicity, op8_fingerprint, op9_packing, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can't express a query (tokens, learned models, hashes, dynamic programmes), its test compares it with brute force."""
+    return {"op1_url_filter": sql.url_rules(), "op4_secrets": sql.secret_spans(), "op10_minhash": sql.near_documents()}
