@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievemark.plans.tables import table
 
-from . import bpe, fingerprint, lang_crf, minhash, packing, secrets, sql, toxicity, url_filter
+from . import bpe, fingerprint, html_text, lang_crf, minhash, near_vectors, packing, secrets, sql, toxicity, url_filter
 
 #: The tokenizer files' package is looked up at run time; another rank file can be passed to the operators.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, model).drop("text")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = fingerprint.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(
@@ -70,9 +78,9 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_byte_bpe, op3_language, op4_secrets, op5_toxicity, op8_fingerprint, op9_packing, op10_minhash)}
+    return {f.__name__: f for f in (op1_url_filter, op2_byte_bpe, op3_language, op4_secrets, op5_toxicity, op6_near_vectors, op7_html_text, op8_fingerprint, op9_packing, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can't express a query (tokens, learned models, hashes, dynamic programmes), its test compares it with brute force."""
-    return {"op1_url_filter": sql.url_rules(), "op4_secrets": sql.secret_spans(), "op10_minhash": sql.near_documents()}
+    return {"op1_url_filter": sql.url_rules(), "op4_secrets": sql.secret_spans(), "op6_near_vectors": sql.near_vectors(), "op10_minhash": sql.near_documents()}
