@@ -10,8 +10,8 @@ candidates, and links are confirmed on the full sets.
 Groups are joined without listing their pairs: in each bucket all members are first
 compared with its smallest member. Links found so give components; then, in buckets
 whose members lie in different components, every member outside the bucket's largest
-component is compared with all members of other components. So every candidate pair is
-confirmed or lies within one component already.
+component is compared with all members of other components (where they are many, in blocks).
+So every candidate pair is confirmed or lies within one component already.
 
 Edge cases: texts without words, null and empty ones have an empty set and link with
 nothing; shorter texts than a shingle have one shingle of all their words. Rows without
@@ -22,6 +22,7 @@ Extra columns are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,8 @@ BANDS, ROWS = 40, 8
 SIMILAR, BLOCK = 80, 8_000_000
 #: Words that a worker remembers.
 MOST_WORDS = 400_000
+#: Components and buckets with so many classes are compared in blocks of so many rows.
+LARGE, BLOCK_ROWS = 64, 256
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -163,6 +166,38 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return joined.withColumn("both", both).filter(F.lit(100) * F.col("both") >= F.lit(similar) * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
 
+def _in_blocks(hosts: DataFrame, guests: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Links (a, b) of guests to hosts of the same ``grp`` in other components; of a block, one to each component.
+
+    Both are rows (grp, component, key). Pairs are not listed: blocks of hosts meet blocks of guests.
+    """
+    ship(__name__)
+    count = lambda df, name: df.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
+    plan = count(hosts, "blocks").join(count(guests, "chunks"), "grp")
+    spot = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = hosts.join(plan, "grp").select("grp", "component", "key", spot("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("guest"))
+    others = guests.join(plan, "grp").select("grp", "component", "key", every("blocks").alias("block"), spot("chunks").alias("chunk"), F.lit(True).alias("guest"))
+    rows = own.union(others).join(sets, "key")
+
+    def check(pdf):
+        own, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]
+        found = []
+        if len(own):
+            flat, sizes = np.concatenate(list(own["items"])), own["items"].map(len).to_numpy()
+            of, names = np.repeat(np.arange(len(own)), sizes), own["key"].tolist()
+            part = pd.factorize(own["component"])[0]
+            for key, mine, items in zip(guests["key"], guests["component"], guests["items"], strict=True):
+                x = np.sort(items)
+                at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+                both = np.bincount(of[x[at] == flat], minlength=len(own))
+                hit = np.flatnonzero((100 * both >= similar * (len(x) + sizes - both)) & (own["component"] != mine).to_numpy())
+                found += [(key, names[hit[i]]) for i in np.unique(part[hit], return_index=True)[1]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return rows.groupBy("grp", "block", "chunk").applyInPandas(check, "a binary, b binary")
+
+
 def components(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id): the smallest id reachable over links of similar documents."""
     signed = cut(signatures(docs, width, doc_id, text))
@@ -181,11 +216,22 @@ def components(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id:
     placed = cut(shared.select("bucket", "key", "n").join(first.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
     counted = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = counted.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    outside = placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main")
-    other = placed.select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
+    outside = cut(placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main").drop("main"))
+    # Members outside against large components, in blocks of those.
+    large = cut(first.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= LARGE).select("component"))
+    near = counted.join(large, "component", "left_semi").select("bucket", F.col("component").alias("grp"))
+    hosts = first.join(large, "component", "left_semi").select(F.col("component").alias("grp"), "component", F.col("node").alias("key"))
+    guests = outside.join(near, "bucket").filter("component <> grp").select("grp", "component", "key").distinct()
+    found = [_in_blocks(hosts, guests, sets, similar)]
+    # Against the others: in blocks where a bucket holds many, else pair by pair.
+    rest = cut(placed.join(large, "component", "left_anti"))
+    busy = cut(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= LARGE).select("bucket"))
+    by_bucket = lambda df: df.join(busy, "bucket", "left_semi").select(F.col("bucket").alias("grp"), "component", "key")
+    found.append(_in_blocks(by_bucket(rest), by_bucket(outside), sets, similar))
+    other = rest.join(busy, "bucket", "left_anti").select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
     across = outside.join(other, "bucket").filter(F.col("component") != F.col("theirs")).filter(_can_link(F.col("n"), F.col("m"), similar))
     across = across.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-    more = cut(_confirmed(across, sets, similar))
+    more = cut(_confirmed(across, sets, similar).union(found[0]).union(found[1]))
     final = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key")
 
     joined = classes.select("key", "rep").join(final, "key", "left").withColumn("component", F.coalesce("component", "key"))

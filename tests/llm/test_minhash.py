@@ -72,6 +72,13 @@ def test_groups_against_all_pairs(spark, width):
     assert len({r["component_id"] for r in got}) < len(rows) - 40
 
 
+def test_large_components_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(M, "LARGE", 4)
+    monkeypatch.setattr(M, "BLOCK_ROWS", 3)
+    rows = near_rows(9)
+    assert Counter(map(tuple, M.components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())) == brute(rows, 2)
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame(odd_rows(), SCHEMA)
     assert Counter(map(tuple, M.components(df, 2).collect())) == brute([r[:2] for r in odd_rows()], 2)
