@@ -429,7 +429,7 @@ def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events routed in micro-batches, each key once."""
     schema = table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/events.parquet")
+    source = recover_stream.parquet_stream(spark, f"{sf_dir}/events.parquet", schema)
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     route = lambda b: b.select("event_id", "user_id", "event_type", sc.routed(F.col("value"), F.lit(50.0)).alias("mode"))
     recover_stream.run(source, f"{base}/out", f"{base}/state", ["event_id"], route, {"threshold": 50.0})

@@ -21,6 +21,15 @@ def signature(settings: dict) -> str:
     return hashlib.sha256(json.dumps(settings, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
 
 
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, files: int = 4) -> DataFrame:
+    """A stream over the files of a Parquet folder, or over one file; ``files`` at most in a batch."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
+
+
 def _guard(spark: SparkSession, path: str, sign: str) -> None:
     """Writes the signature at the first start; refuses another one at a resume. Uses the path's own file system."""
     jvm = spark.sparkContext._jvm
