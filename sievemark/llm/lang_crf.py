@@ -36,7 +36,7 @@ BUCKETS, HEAD, TAIL = 1 << 16, 14, 4
 #: Training documents per language, words of a training sequence, longest stretch, steps and penalty.
 PER_LANG, SEQUENCE, STRETCH, STEPS, L2 = 150, 64, 24, 60, 1e-3
 #: Bytes of text that a worker labels at once, and words whose scores it remembers.
-BLOCK, MOST_WORDS = 8_000_000, 200_000
+BLOCK, MOST_WORDS = 3_500_000, 120_000
 WORDS = re.compile(r"[^\W\d_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 

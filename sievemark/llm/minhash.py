@@ -38,9 +38,9 @@ from .common import ship
 #: Bands and places of a band: 0.8 alike misses all bands once in 1600 pairs, 0.85 once in 300,000, 0.9 never to speak of.
 BANDS, ROWS = 40, 8
 #: Least similarity in hundredths, and bytes of text that a worker handles at once.
-SIMILAR, BLOCK = 80, 8_000_000
+SIMILAR, BLOCK = 80, 4_000_000
 #: Words that a worker remembers.
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 #: Components and buckets with so many classes are compared in blocks of so many rows.
 LARGE, BLOCK_ROWS = 64, 256
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
