@@ -3,8 +3,8 @@
 The labels say only toxic or not, so the chain predicts finer categories first:
 ``abusive`` (toxic, with a word that marks toxic documents), ``sustained`` (toxic,
 with at least three such words) and ``toxic`` itself. Each model sees which
-discriminating words a document holds, how many marker words, and the probabilities
-of the earlier categories. In training those come from folds that did not see the
+discriminating words and beginnings of words a document holds, how many marker words,
+and the probabilities of the earlier categories. In training those come from folds that did not see the
 document, so later models learn how far earlier ones can be trusted.
 
 Training takes at most ``MOST_ROWS`` labelled documents, chosen by a hash of the id.
@@ -32,7 +32,9 @@ from pyspark.sql import types as T
 from .common import ship
 
 #: Labelled documents to learn from, words that a model looks at, folds, and the penalty on weights.
-MOST_ROWS, MOST_WORDS, FOLDS, L2 = 3000, 128, 5, 0.3
+MOST_ROWS, MOST_WORDS, FOLDS, L2 = 5000, 160, 5, 0.3
+#: Lengths of a longer word's beginnings that also count as words, for inflected forms; words that are remembered.
+STEMS, MOST_KNOWN = (4, 5, 6), 200_000
 #: A marker word occurs in so many training documents, of which so large a share is toxic for sure (95 %).
 MARKER_DOCUMENTS, MARKER_SHARE = 5, 0.7
 CATEGORIES = ("abusive", "sustained", "toxic")
@@ -40,6 +42,11 @@ THRESHOLD = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def forms(word: str) -> list[str]:
+    """The word and its beginnings, marked by a star."""
+    return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
+
+
 def _wilson(good: int, n: int, z: float = 1.96) -> float:
     p = good / n
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
@@ -55,13 +62,20 @@ class Model:
 
     def features(self, texts: list[str]) -> np.ndarray:
         x = np.zeros((len(texts), len(self.words) + 1))
-        known = self.words.keys() | self.markers
+        known: dict[str, tuple[list[int], bool]] = {}
         for i, t in enumerate(texts):
-            found = [w for w in WORD.findall(t.lower()) if w in known]
-            for w in set(found):
-                if w in self.words:
-                    x[i, self.words[w]] = 1.0
-            x[i, -1] = math.log1p(sum(w in self.markers for w in found))
+            hits = 0
+            for w in WORD.findall(t.lower()):
+                entry = known.get(w)
+                if entry is None:
+                    if len(known) >= MOST_KNOWN:
+                        known.clear()
+                    f = forms(w)
+                    entry = known[w] = ([self.words[k] for k in f if k in self.words], any(k in self.markers for k in f))
+                if entry[0]:
+                    x[i, entry[0]] = 1.0
+                hits += entry[1]
+            x[i, -1] = math.log1p(hits)
         return x
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
@@ -95,7 +109,12 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     texts, y = list(unique), np.array(list(unique.values()), dtype=float)
     if len(set(y.tolist())) < 2:
         return Model()
-    counts = [Counter(WORD.findall(t.lower())) for t in texts]
+    counts = []
+    for t in texts:
+        c: Counter = Counter()
+        for w, k in Counter(WORD.findall(t.lower())).items():
+            c.update(dict.fromkeys(forms(w), k))
+        counts.append(c)
     bad, all_docs = Counter(), Counter()
     for c, t in zip(counts, y, strict=True):
         all_docs.update(c.keys())
@@ -110,10 +129,10 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
 
     words = sorted((w for w, k in all_docs.items() if k >= MARKER_DOCUMENTS), key=lambda w: (-gain(w), w))[:MOST_WORDS]
     model = Model({w: i for i, w in enumerate(sorted(words))}, markers)
-    hits = np.array([sum(k for w, k in c.items() if w in markers) for c in counts])
+    x = model.features(texts)
+    hits = np.expm1(x[:, -1]).round()
     targets = [y * (hits >= 1), y * (hits >= 3), y]
     fold = np.arange(n) % FOLDS
-    x = model.features(texts)
     for target in targets:
         model.weights.append(_logistic(x, target))
         unseen = np.zeros(n)
