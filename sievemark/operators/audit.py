@@ -73,7 +73,8 @@ def split_statistics(images: DataFrame, labels: DataFrame, checked: DataFrame) -
 
 def class_objects(checked: DataFrame, classes: DataFrame) -> DataFrame:
     """Objects of each class in ``classes`` (class_id, class_name), 0 where there are none."""
-    n = checked.filter("problem is null").groupBy("class_id").agg(F.count(F.lit(1)).alias("objects"))
+    # class_id is null for lines with a fault, and no class joins that.
+    n = checked.groupBy("class_id").agg(F.count(F.lit(1)).alias("objects"))
     return classes.join(n, "class_id", "left").fillna(0, ["objects"])
 
 

@@ -58,11 +58,14 @@ FIELDS = ("dhash", "ahash", "width", "height", "mean_luma", "luma_stddev")
 def _sides(images: DataFrame, radius: int, bands: int | None) -> DataFrame:
     """Rows (l, r): images within ``radius`` by dhash, the earlier first; each pair once."""
     bands = bands or bands_for(images.count(), radius)
-    who = F.struct("split", "path", *FIELDS)
-    keyed = images.select(who.alias("x"), F.explode(band_keys(F.col("dhash"), radius, bands)).alias("k"))
-    left, right = keyed.select(F.col("x").alias("l"), "k"), keyed.select(F.col("x").alias("r"), "k")
-    order = lambda s: F.struct(F.col(f"{s}.split"), F.col(f"{s}.path"))
-    return left.join(right, "k").filter(order("l") < order("r")).filter(hamming(F.col("l.dhash"), F.col("r.dhash")) <= radius).select("l", "r").distinct()
+    # Only hashes and names pass through the banding; the other columns join the pairs that are left.
+    keyed = images.select("split", "path", "dhash", F.explode(band_keys(F.col("dhash"), radius, bands)).alias("k"))
+    side = lambda s: keyed.select(F.col("k.band").alias("band"), F.col("k.value").alias("value"), *[F.col(c).alias(f"{s}_{c}") for c in ("split", "path", "dhash")])
+    near = hamming(F.col("l_dhash"), F.col("r_dhash")) <= radius
+    first = (F.col("l_split") < F.col("r_split")) | (F.col("l_split") == F.col("r_split")) & (F.col("l_path") < F.col("r_path"))
+    found = side("l").join(side("r"), ["band", "value"]).filter(near & first).select("l_split", "l_path", "r_split", "r_path").distinct()
+    who = lambda s: images.select(F.col("split").alias(f"{s}_split"), F.col("path").alias(f"{s}_path"), F.struct("split", "path", *FIELDS).alias(s))
+    return found.join(who("l"), ["l_split", "l_path"]).join(who("r"), ["r_split", "r_path"]).select("l", "r")
 
 
 def pairs(images: DataFrame, dhash: int = DHASH, bands: int | None = None, **limits) -> DataFrame:
