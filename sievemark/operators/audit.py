@@ -19,19 +19,23 @@ def checked_lines(lines: DataFrame, classes: int) -> DataFrame:
     """
     words = F.filter(F.split("value", r"\s+"), lambda w: w != "")
     parsed = lines.withColumn("__w", words).filter(F.size("__w") > 0).withColumn("normalized", F.array_join("__w", " "))
-    numbers = parsed.withColumn("__v", F.transform("__w", lambda w: w.try_cast("double")))
-    v = [F.get("__v", i) for i in range(5)]
+    names = [f"__v{i}" for i in range(5)]
+    numbers = parsed.withColumns({n: F.get("__w", i).try_cast("double") for i, n in enumerate(names)})
+    v = [F.col(n) for n in names]
     cx, cy, w, h = v[1:]
-    finite = ~F.exists("__v", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+    missing, infinite = F.lit(False), F.lit(False)
+    for x in v:
+        missing = missing | x.isNull()
+        infinite = infinite | F.isnan(x) | (F.abs(x) == float("inf"))
     bad_box = (w <= 0) | (h <= 0) | (w > 1) | (h > 1) | ~cx.between(0.0, 1.0) | ~cy.between(0.0, 1.0)
     problem = (
-        F.when(F.size("__w") != 5, "malformed_line").when(F.exists("__v", lambda x: x.isNull()), "non_numeric").when(~finite, "non_finite")
+        F.when(F.size("__w") != 5, "malformed_line").when(missing, "non_numeric").when(infinite, "non_finite")
         .when((v[0] != F.floor(v[0])) | (v[0] < 0) | (v[0] >= classes), "invalid_class_id").when(bad_box, "invalid_box")
     )
     first = numbers.groupBy("split", "file", "normalized").agg(F.min("line_no").alias("__first"))
     out = numbers.withColumn("problem", problem).withColumn("class_id", F.when(F.col("problem").isNull(), v[0].cast("int")))
     out = out.withColumn("crossing", F.when(F.col("problem").isNull(), crosses_edge((cx, cy, w, h))).otherwise(F.lit(False)))
-    return out.join(first, ["split", "file", "normalized"]).withColumn("repeated", F.col("line_no") > F.col("__first")).drop("__w", "__v", "__first")
+    return out.join(first, ["split", "file", "normalized"]).withColumn("repeated", F.col("line_no") > F.col("__first")).drop("__w", *names, "__first")
 
 
 def line_findings(checked: DataFrame) -> DataFrame:
