@@ -36,7 +36,9 @@ BUCKETS, HEAD, TAIL = 1 << 16, 14, 4
 #: Training documents per language, words of a training sequence, longest stretch, steps and penalty.
 PER_LANG, SEQUENCE, STRETCH, STEPS, L2 = 150, 64, 24, 60, 1e-3
 #: Bytes of text that a worker labels at once, and words whose scores it remembers.
-BLOCK, MOST_WORDS = 3_500_000, 120_000
+BLOCK, MOST_WORDS = 3_000_000, 120_000
+#: Words whose features are made at once.
+CHUNK = 16_384
 WORDS = re.compile(r"[^\W\d_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,12 +82,15 @@ class Model:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Positive scores, the largest of each word 1."""
-        f = features(words)
-        e = np.zeros((len(words), len(self.labels)), dtype=np.float64)
-        for j in range(f.shape[1]):
-            e += self.weights[f[:, j]]
-        e *= _scale(f)[:, None]
-        return np.exp(e - e.max(axis=1, keepdims=True))
+        out = np.empty((len(words), len(self.labels)))
+        for i in range(0, len(words), CHUNK):
+            f = features(words[i : i + CHUNK])
+            e = np.zeros((len(f), len(self.labels)))
+            for j in range(f.shape[1]):
+                e += self.weights[f[:, j]]
+            e *= _scale(f)[:, None]
+            out[i : i + CHUNK] = np.exp(e - e.max(axis=1, keepdims=True))
+        return out
 
 
 def posteriors(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
