@@ -109,17 +109,13 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     texts, y = list(unique), np.array(list(unique.values()), dtype=float)
     if len(set(y.tolist())) < 2:
         return Model()
-    counts = []
-    for t in texts:
-        c: Counter = Counter()
-        for w, k in Counter(WORD.findall(t.lower())).items():
-            c.update(dict.fromkeys(forms(w), k))
-        counts.append(c)
     bad, all_docs = Counter(), Counter()
-    for c, t in zip(counts, y, strict=True):
-        all_docs.update(c.keys())
-        if t:
-            bad.update(c.keys())
+    for t, toxic_doc in zip(texts, y, strict=True):
+        held = {k for w in set(WORD.findall(t.lower())) for k in forms(w)}
+        all_docs.update(held)
+        if toxic_doc:
+            bad.update(held)
+    all_docs = Counter({w: k for w, k in all_docs.items() if k >= MARKER_DOCUMENTS})
     markers = frozenset(w for w, n in bad.items() if n >= MARKER_DOCUMENTS and _wilson(n, all_docs[w]) >= MARKER_SHARE)
     n, n_bad = len(texts), y.sum()
 
@@ -127,7 +123,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         """How far the word's share of toxic documents is from the overall share, in standard errors."""
         return abs(bad[w] - all_docs[w] * n_bad / n) / math.sqrt(all_docs[w] * (n_bad / n) * (1 - n_bad / n))
 
-    words = sorted((w for w, k in all_docs.items() if k >= MARKER_DOCUMENTS), key=lambda w: (-gain(w), w))[:MOST_WORDS]
+    words = sorted(all_docs, key=lambda w: (-gain(w), w))[:MOST_WORDS]
     model = Model({w: i for i, w in enumerate(sorted(words))}, markers)
     x = model.features(texts)
     hits = np.expm1(x[:, -1]).round()
