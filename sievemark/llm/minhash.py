@@ -234,9 +234,11 @@ def components(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id:
     more = cut(_confirmed(across, sets, similar).union(found[0]).union(found[1]))
     final = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key")
 
-    joined = classes.select("key", "rep").join(final, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = joined.join(least, "component").select("key", "component_id")
+    # Written, so that both sides of the next join are plain shuffles and a large component can be split.
+    linked = cut(final.join(classes.select("key", "rep"), "key"))
+    least = cut(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
+    named = linked.join(least, "component").select("key", "component_id")
+    labels = classes.select("key", "rep").join(named, "key", "left").select("key", F.coalesce("component_id", "rep").alias("component_id"))
     result = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(labels, "key", "left")
     return result.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

@@ -178,8 +178,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "v
     """Rows (vec_id, n_links, component_id, kept) for each vector."""
     rows, classes = _classes(vectors, vec_id, vector)
     classes = cut(classes)
-    filed = _filed(classes)
-    centres = filed.groupBy("bucket").agg(F.min(F.when(F.col("own"), F.col("key"))).alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1 and centre is not null").drop("n")
+    filed = cut(_filed(classes))
+    centres = cut(filed.groupBy("bucket").agg(F.min(F.when(F.col("own"), F.col("key"))).alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1 and centre is not null").drop("n"))
     shared = cut(filed.join(centres, "bucket"))
     order: list[Column] = [F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")]
     links = cut(_confirmed(shared.filter("key <> centre").select(*order).distinct(), classes, cosine))
@@ -197,7 +197,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "v
 
     joined = classes.select("key", "rep", "copies").join(final, "key", "left").join(_counted(final, classes, cosine), "key", "left")
     joined = joined.select("key", "rep", F.coalesce("component", "key").alias("component"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # Written, so that both sides of the next join are plain shuffles and a large component can be split.
+    joined = cut(joined)
+    least = cut(joined.groupBy("component").agg(F.min("rep").alias("component_id")))
     labels = joined.join(least, "component").select("key", "n_links", "component_id")
     result = rows.join(labels, "key", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")))
