@@ -7,7 +7,7 @@ import sys
 from pathlib import Path
 
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,3 +29,18 @@ def ship(module: str) -> None:
     if root not in known:
         for name in (module, __name__):
             cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
+def in_blocks(hosts: DataFrame, guests: DataFrame, rows: int) -> DataFrame:
+    """Rows (grp, component, key, block, chunk, guest) in which every guest meets every host of its ``grp``.
+
+    Both are rows (grp, component, key). A group's hosts stand in blocks and its guests in
+    chunks of about ``rows``, so that one task sees one block and one chunk, however large the group.
+    """
+    count = lambda df, name: df.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+    plan = count(hosts, "blocks").join(count(guests, "chunks"), "grp")
+    spot = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = hosts.join(plan, "grp").select("grp", "component", "key", spot("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("guest"))
+    others = guests.join(plan, "grp").select("grp", "component", "key", every("blocks").alias("block"), spot("chunks").alias("chunk"), F.lit(True).alias("guest"))
+    return own.union(others)

@@ -33,7 +33,7 @@ from sievemark.operators.components import connected_components
 from sievemark.plans.tables import cut
 
 from .bpe import blocks
-from .common import ship
+from .common import in_blocks, ship
 
 #: Bands and places of a band: 0.8 alike misses all bands once in 1600 pairs, 0.85 once in 300,000, 0.9 never to speak of.
 BANDS, ROWS = 40, 8
@@ -172,13 +172,7 @@ def _in_blocks(hosts: DataFrame, guests: DataFrame, sets: DataFrame, similar: in
     Both are rows (grp, component, key). Pairs are not listed: blocks of hosts meet blocks of guests.
     """
     ship(__name__)
-    count = lambda df, name: df.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
-    plan = count(hosts, "blocks").join(count(guests, "chunks"), "grp")
-    spot = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = hosts.join(plan, "grp").select("grp", "component", "key", spot("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("guest"))
-    others = guests.join(plan, "grp").select("grp", "component", "key", every("blocks").alias("block"), spot("chunks").alias("chunk"), F.lit(True).alias("guest"))
-    rows = own.union(others).join(sets, "key")
+    rows = in_blocks(hosts, guests, BLOCK_ROWS).join(sets, "key")
 
     def check(pdf):
         own, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]

@@ -8,8 +8,9 @@ Candidates are confirmed by cosine in double precision.
 
 Groups are joined as for documents: first each bucket's members with its smallest
 member, then, where a bucket's members are still in different components, the members
-outside its largest component with all others. Within a component all vectors are
-then compared in blocks, which counts each vector's links without listing pairs.
+outside its largest component with all others, in blocks where a bucket holds many.
+Within a component all vectors are then compared in blocks, which counts each
+vector's links without listing pairs.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing; vectors of different lengths do not link. Rows without an id are
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 from sievemark.operators.components import connected_components
 from sievemark.plans.tables import cut
 
-from .common import ship
+from .common import in_blocks, ship
 
 #: Tables, axes of a table's hash, and further buckets probed in each table.
 TABLES, AXES, PROBES = 14, 3, 4
 #: Least cosine, rows of a block, and the seed of the rotations' signs.
 COSINE, BLOCK_ROWS, SEED = 0.95, 256, 11
+#: Buckets with so many classes are compared in blocks of BLOCK_ROWS.
+LARGE = 64
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -149,6 +152,36 @@ def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (_unit(x) * _unit(y)).sum(axis=1)
 
 
+def _near(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of ``x`` are near which of ``y``; both have unit rows."""
+    product = x @ y.T
+    near = product >= cosine
+    # Right at the threshold, sums in another order could differ from the pairwise ones.
+    for i, j in zip(*np.nonzero(np.abs(product - cosine) < 1e-12), strict=True):
+        near[i, j] = (x[i] * y[j]).sum() >= cosine
+    return near
+
+
+def _across_blocks(hosts: DataFrame, guests: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+    """Links (a, b) of guests to hosts of the same ``grp`` in other components; of a block, one to each component."""
+    ship(__name__)
+    rows = in_blocks(hosts, guests, BLOCK_ROWS).join(classes.select("key", "v"), "key").withColumn("d", F.size("v"))
+
+    def check(pdf):
+        own, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]
+        found = []
+        if len(own) and len(guests):
+            near = _near(_unit(np.stack(guests["v"])), _unit(np.stack(own["v"])), cosine)
+            near &= guests["component"].to_numpy()[:, None] != own["component"].to_numpy()[None, :]
+            names, part = own["key"].tolist(), pd.factorize(own["component"])[0]
+            for key, row in zip(guests["key"], near, strict=True):
+                hit = np.flatnonzero(row)
+                found += [(key, names[hit[i]]) for i in np.unique(part[hit], return_index=True)[1]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return rows.groupBy("grp", "block", "chunk", "d").applyInPandas(check, "a string, b string")
+
+
 def _counted(members: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
     """Rows (key, others): for each class of a component, how many vectors of its other classes it links with."""
     ship(__name__)
@@ -164,10 +197,7 @@ def _counted(members: DataFrame, classes: DataFrame, cosine: float) -> DataFrame
         if not len(asks) or not len(has):
             return pd.DataFrame({"key": [], "others": []})
         x, y = _unit(np.stack(asks["v"])), _unit(np.stack(has["v"]))
-        near = x @ y.T >= cosine
-        # Right at the threshold, sums in another order could differ from the pairwise ones.
-        for i, j in zip(*np.nonzero(np.abs(x @ y.T - cosine) < 1e-12), strict=True):
-            near[i, j] = (x[i] * y[j]).sum() >= cosine
+        near = _near(x, y, cosine)
         near &= asks["key"].to_numpy()[:, None] != has["key"].to_numpy()[None, :]
         return pd.DataFrame({"key": asks["key"], "others": near @ has["copies"].to_numpy()})
 
@@ -188,11 +218,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "v
     placed = cut(shared.drop("centre").join(first, "key", "left").withColumn("component", F.coalesce("component", "key")))
     counted = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = counted.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    outside = placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main")
-    other = placed.select("bucket", F.col("key").alias("other"), F.col("component").alias("theirs"), F.col("own").alias("filed"))
+    outside = cut(placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main").drop("main"))
+    # Buckets with many members are compared in blocks, the others pair by pair.
+    busy = cut(counted.groupBy("bucket").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("parts")).filter((F.col("parts") > 1) & (F.col("size") >= LARGE)).select("bucket"))
+    by_bucket = lambda df: df.join(busy, "bucket", "left_semi").select(F.col("bucket").alias("grp"), "component", "key")
+    blocks = _across_blocks(by_bucket(placed), by_bucket(outside), classes, cosine)
+    other = placed.join(busy, "bucket", "left_anti").select("bucket", F.col("key").alias("other"), F.col("component").alias("theirs"), F.col("own").alias("filed"))
     across = outside.join(other, "bucket").filter(F.col("component") != F.col("theirs")).filter("own or filed")
     across = across.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    more = cut(_confirmed(across, classes, cosine))
+    more = cut(_confirmed(across, classes, cosine).union(blocks))
     final = cut(connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key"))
 
     joined = classes.select("key", "rep", "copies").join(final, "key", "left").join(_counted(final, classes, cosine), "key", "left")

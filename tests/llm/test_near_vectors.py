@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievemark.llm import near_vectors as V
 
@@ -47,8 +48,10 @@ def made(seed=0):
     return [(int(i), v) for i, v in zip(rng.permutation(len(vectors)), vectors, strict=True)]
 
 
-def test_against_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("large", [2, 64])
+def test_against_all_pairs(spark, monkeypatch, large):
     monkeypatch.setattr(V, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(V, "LARGE", large)
     rows = made()
     df = spark.createDataFrame([(i, v, 0, "x", 9) for i, v in rows], SCHEMA)
     got = V.near_duplicates(df).collect()
@@ -57,6 +60,18 @@ def test_against_all_pairs(spark, monkeypatch):
     assert V.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_busy_bucket_of_vectors_that_do_not_link(spark, monkeypatch):
+    """Vectors around one centre that share buckets, most below the threshold, are compared in blocks and all links found."""
+    monkeypatch.setattr(V, "_filed", lambda classes: classes.select("key", F.lit(0).cast("long").alias("bucket"), F.lit(True).alias("own")))
+    monkeypatch.setattr(V, "BLOCK_ROWS", 32)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    vectors = [(centre + 0.3 * rng.normal(size=64)).astype(np.float32).tolist() for _ in range(300)]
+    rows = [(i, v) for i, v in enumerate(vectors + vectors[:20] + [(np.array(v) * 1.01 + 0.01).tolist() for v in vectors[:40]])]
+    got = V.near_duplicates(spark.createDataFrame([(i, v, 0, "x", 9) for i, v in rows], SCHEMA)).collect()
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
+
+
 def test_recall_at_the_threshold():
     """Pairs with a cosine of just 0.95 meet in some bucket."""
     rng = np.random.default_rng(3)
