@@ -64,7 +64,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = fingerprint.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(
         F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint.shown(F.col("anchors")).alias("fingerprint"), fingerprint.shown(F.col("edited_anchors")).alias("edited_fingerprint"),
+        fingerprint.shown(F.col("anchors"), F.col("anchors_chars")).alias("fingerprint"), fingerprint.shown(F.col("edited_anchors"), F.col("edited_anchors_chars")).alias("edited_fingerprint"),
         "near_edited", "near_next", "aligned_edited",
     )
 

@@ -1,13 +1,17 @@
-"""Document fingerprints from closed syncmers over words.
+"""Document fingerprints from closed syncmers over words, and over characters where words say little.
 
-A text is its sequence of white-space separated words, each hashed to 64 bits. Of
+A text is its sequence of white-space separated words, each hashed to 64 bits; a
+character of a script without spaces is a word, and so is each character of a run
+longer than ``LONG``. A text of at most ``SHORT`` code points, as every one of fewer
+than ten words is, has anchors over its characters besides, and two such texts are
+compared by those. Of
 all k-word windows those are kept whose smallest s-word part lies at the window's
 first or last place. Whether a window is kept depends on its own words only, so an
 edit disturbs the anchors next to it and no others. Anchors carry their position,
 by which matching anchors of two texts can be aligned. All of it is DataFrame functions.
 
 Edge cases: a null text counts as empty; a text without words has the empty
-fingerprint; one with fewer than k words has a single anchor of all its words. Equal
+fingerprint; one with fewer than k words (or characters) has a single anchor of all of them. Equal
 fingerprints are alike by 1.0, an empty and a non-empty one by 0.0. Rows that share a
 doc_id are ordered by text; a null doc_id comes first. Extra columns are not read. An
 empty table gives an empty result; a single document is its own next document.
@@ -20,13 +24,30 @@ from pyspark.sql import functions as F
 
 #: Words of a window, and of the parts compared within it.
 K, S = 5, 2
+#: A longer run without spaces is read by characters, and so is, besides, a text of so few code points.
+LONG, SHORT = 32, 300
+#: Characters of scripts that set no spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+UNSPACED = r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 #: Documents of one range bucket, and the most buckets.
 BUCKET_ROWS, MOST_BUCKETS = 512, 65_536
 
 
-def word_hashes(text: Column) -> Column:
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+def words_of(text: Column) -> Column:
+    spaced = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    return F.filter(F.split(spaced, r"\s+"), lambda w: w != "")
+
+
+def word_hashes(words: Column) -> Column:
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    pieces = F.flatten(F.transform(words, lambda w: F.when(F.length(w) > LONG, F.transform(F.split(w, ""), lambda c: F.xxhash64(c))).otherwise(F.array(F.xxhash64(w)))))
+    return F.when(F.exists(words, lambda w: F.length(w) > LONG), pieces).otherwise(hashed)
+
+
+def char_hashes(text: Column) -> Column:
+    """Of a short text the hashes of its characters, white space as one space; else nothing."""
+    chars = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), "")
+    hashed = F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.xxhash64(c))
+    return F.when(F.length(text) <= SHORT, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
 def part_hashes(words: Column, s: int = S) -> Column:
@@ -54,16 +75,19 @@ def anchors_of(words: Column, parts: Column, k: int = K, s: int = S) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: array<struct<pos,hash>>. In steps, so that no part is computed twice."""
+    """Adds ``out`` and ``out``_chars: array<struct<pos,hash>>. In steps, so that no part is computed twice."""
     w, p = f"__w_{out}", f"__p_{out}"
-    df = df.withColumn(w, word_hashes(F.col(text)))
+    df = df.withColumn(w, words_of(F.col(text))).withColumn(w, word_hashes(F.col(w)))
     df = df.withColumn(p, part_hashes(F.col(w)))
-    return df.withColumn(out, anchors_of(F.col(w), F.col(p))).drop(w, p)
+    df = df.withColumn(out, anchors_of(F.col(w), F.col(p)))
+    df = df.withColumn(w, char_hashes(F.col(text))).withColumn(p, part_hashes(F.col(w)))
+    return df.withColumn(f"{out}_chars", anchors_of(F.col(w), F.col(p))).drop(w, p)
 
 
-def shown(anchors: Column) -> Column:
-    """``pos:hash`` of each anchor, comma-joined; the hash in hexadecimal."""
-    return F.array_join(F.transform(anchors, lambda a: F.concat(a["pos"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))), ",")
+def shown(anchors: Column, chars: Column) -> Column:
+    """``pos:hash`` of each anchor, comma-joined, those over characters with c before; the hash in hexadecimal."""
+    each = lambda a: F.concat(a["pos"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))
+    return F.array_join(F.concat(F.transform(anchors, each), F.transform(chars, lambda a: F.concat(F.lit("c"), each(a)))), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -73,6 +97,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(both / every)
 
 
+def alike(a: Column, b: Column, a_chars: Column, b_chars: Column) -> Column:
+    """``likeness`` by characters if both texts have such anchors, else by words."""
+    return F.when((F.size(a_chars) > 0) & (F.size(b_chars) > 0), likeness(a_chars, b_chars)).otherwise(likeness(a, b))
+
+
 def _bucketed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows (b, ghost, id, key, text): ranges of ascending id; each but the first also ends the one before as a ghost.
 
@@ -105,7 +134,7 @@ def _bucketed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, text, edited, anchors, edited_anchors, next_anchors) for each document.
+    """Rows (id, text, edited, anchors, edited_anchors, next_hashes) for each document, and those over characters.
 
     The edited text is the text with its last floor(n/2) code points replaced by as
     many of the next document's first (all, if it has fewer).
@@ -116,7 +145,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next", F.lit(1), half))
     d = with_anchors(d.withColumn("edited", edited).drop("next"), "text", "anchors")
-    d = d.withColumn("next_hashes", F.lead(F.col("anchors.hash")).over(order)).filter("ghost = 0")
+    d = d.withColumns({"next_hashes": F.lead(F.col("anchors.hash")).over(order), "next_hashes_chars": F.lead(F.col("anchors_chars.hash")).over(order)}).filter("ghost = 0")
     return with_anchors(d, "edited", "edited_anchors")
 
 
@@ -125,7 +154,7 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     d = fingerprints(docs, doc_id, text)
     placed = lambda c: F.transform(F.col(c), lambda a: F.xxhash64(a["pos"], a["hash"]))
     return d.withColumns({
-        "near_edited": likeness(F.col("anchors.hash"), F.col("edited_anchors.hash")),
-        "near_next": likeness(F.col("anchors.hash"), F.col("next_hashes")),
-        "aligned_edited": likeness(placed("anchors"), placed("edited_anchors")),
+        "near_edited": alike(*[F.col(f"{c}.hash") for c in ("anchors", "edited_anchors", "anchors_chars", "edited_anchors_chars")]),
+        "near_next": alike(F.col("anchors.hash"), F.col("next_hashes"), F.col("anchors_chars.hash"), F.col("next_hashes_chars")),
+        "aligned_edited": alike(*[placed(c) for c in ("anchors", "edited_anchors", "anchors_chars", "edited_anchors_chars")]),
     })

@@ -50,3 +50,15 @@ def test_empty_and_single(spark):
     df = spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")
     assert P.compared(df).first()["edited"] == "abcabc"
     assert P.compared(df.limit(0)).count() == 0
+
+
+def test_few_words_and_texts_without_spaces_keep_anchors(spark):
+    """Halves of few words, and runs without spaces, share anchors with their edited text; 9 long words are still short."""
+    japanese = "".join(chr(0x4E00 + (i * 7919) % 5000) for i in range(400))
+    data = ";".join(str(i * i) for i in range(300))
+    texts = ["three little words", "one text of seven quite different words", " ".join("".join(chr(97 + (i * i + j * j * j + i * j) % 26) for j in range(32)) for i in range(9)), japanese, data, "abcdefghijklmnop😀😁😂"]
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, "QZ" * 2000) for i in range(len(texts))]
+    got = {r["id"]: r for r in P.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * i]["near_edited"] > 0.15 and got[2 * i]["aligned_edited"] > 0.15 for i in range(len(texts)))
+    assert all(got[2 * i]["near_next"] == 0 for i in range(len(texts)))
+    assert len(got[6]["anchors"]) > 100 and len(got[8]["anchors"]) > 100 and not got[8]["anchors_chars"]
