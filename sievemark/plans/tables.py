@@ -1,15 +1,18 @@
 """Table access and lineage cuts that work on a cluster.
 
 Intermediate tables go to the folder named by ``spark.checkpoint.dir``; only where
-that is unset (tests, a laptop) a temporary folder of this machine is used.
+that is unset and driver and executors are one machine (tests, a laptop) a temporary
+folder is used. On a cluster without the setting nothing is written.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors can see."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (the master is {master!r})")
         named = f"file://{tempfile.mkdtemp(prefix='sievemark-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -36,3 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def apart(*columns: str) -> Column:
+    """One more grouping column that changes no group, named ``__apart``.
+
+    An aggregation by ``columns`` and this one is dealt out otherwise than a join by
+    ``columns`` alone. The join then shuffles its two sides itself, and Spark may split
+    a key that holds many rows; it never does so where an aggregation uses the same shuffle.
+    """
+    return F.xxhash64(*columns).alias("__apart")
