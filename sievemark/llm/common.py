@@ -6,10 +6,13 @@ import os
 import sys
 from pathlib import Path
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.plans.tables import apart
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -31,16 +34,27 @@ def ship(module: str) -> None:
             cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
-def in_blocks(hosts: DataFrame, guests: DataFrame, rows: int) -> DataFrame:
-    """Rows (grp, component, key, block, chunk, guest) in which every guest meets every host of its ``grp``.
+M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """The finaliser of splitmix64."""
+    h = (h ^ (h >> np.uint64(30))) * M1
+    h = (h ^ (h >> np.uint64(27))) * M2
+    return h ^ (h >> np.uint64(31))
+
+
+def in_blocks(hosts: DataFrame, guests: DataFrame, rows: int, key: str = "key") -> DataFrame:
+    """Rows (grp, component, <key>, block, chunk, guest) in which every guest meets every host of its ``grp``.
 
-    Both are rows (grp, component, key). A group's hosts stand in blocks and its guests in
+    Both are rows (grp, component, <key>). A group's hosts stand in blocks and its guests in
     chunks of about ``rows``, so that one task sees one block and one chunk, however large the group.
     """
-    count = lambda df, name: df.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
-    plan = count(hosts, "blocks").join(count(guests, "chunks"), "grp")
-    spot = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    there = hosts.select("grp", F.lit(1).alias("h"), F.lit(0).alias("g")).union(guests.select("grp", F.lit(0), F.lit(1)))
+    of = lambda c: F.ceil(F.sum(c) / rows).cast("int")
+    plan = there.groupBy("grp", apart("grp")).agg(of("h").alias("blocks"), of("g").alias("chunks")).filter("blocks > 0 and chunks > 0").select("grp", "blocks", "chunks")
+    spot = lambda n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = hosts.join(plan, "grp").select("grp", "component", "key", spot("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("guest"))
-    others = guests.join(plan, "grp").select("grp", "component", "key", every("blocks").alias("block"), spot("chunks").alias("chunk"), F.lit(True).alias("guest"))
+    own = hosts.join(plan, "grp").select("grp", "component", key, spot("blocks").alias("block"), every("chunks").alias("chunk"), F.lit(False).alias("guest"))
+    others = guests.join(plan, "grp").select("grp", "component", key, every("blocks").alias("block"), spot("chunks").alias("chunk"), F.lit(True).alias("guest"))
     return own.union(others)

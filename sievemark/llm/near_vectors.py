@@ -1,16 +1,19 @@
 """Near-duplicate embeddings by cross-polytope hashing after fast Hadamard rotations.
 
 Equal vectors form one class. In each of several tables a class is hashed by the
-nearest signed axis after pseudo-random rotations (three rounds of random signs and a
-fast Hadamard transform each), a few axes at a time. Every class is filed in its own
-bucket and probes the buckets next to it, in which one axis is the second nearest.
-Candidates are confirmed by cosine in double precision.
+nearest signed axes after pseudo-random rotations (three rounds of random signs and a
+fast Hadamard transform each). Every class is filed in its own bucket and probes the
+buckets next to it, in which some axes are the second nearest. The more classes there
+are, the more axes make a hash, so that buckets do not fill with chance neighbours.
+Candidates whose sign sketches are too far apart for any hope go at once; the others
+are confirmed by cosine in double precision.
 
 Groups are joined as for documents: first each bucket's members with its smallest
 member, then, where a bucket's members are still in different components, the members
 outside its largest component with all others, in blocks where a bucket holds many.
-Within a component all vectors are then compared in blocks, which counts each
-vector's links without listing pairs.
+A vector's links are counted within its component without listing pairs: two vectors
+within half the threshold's angle of their component's centre are near each other for
+certain; only vectors further out are compared with all of the component, in blocks.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing; vectors of different lengths do not link. Rows without an id are
@@ -20,136 +23,171 @@ read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.operators.components import connected_components
-from sievemark.plans.tables import cut
+from sievemark.plans.tables import apart, cut
 
-from .common import in_blocks, ship
+from .common import in_blocks, mix, ship
 
-#: Tables, axes of a table's hash, and further buckets probed in each table.
-TABLES, AXES, PROBES = 14, 3, 4
+#: Of a hash with so many axes: tables, and further buckets probed in each. A pair of cosine 0.95 meets in none of them once in 5000.
+SHAPES = {3: (10, 4), 4: (14, 8), 5: (18, 16)}
+#: Axes are added while a class would meet more classes than this by chance.
+CHANCE = 32
 #: Least cosine, rows of a block, and the seed of the rotations' signs.
-COSINE, BLOCK_ROWS, SEED = 0.95, 256, 11
-#: Buckets with so many classes are compared in blocks of BLOCK_ROWS.
+COSINE, BLOCK_ROWS, SEED = 0.95, 1024, 11
+#: Buckets with so many classes are compared in blocks.
 LARGE = 64
+#: Bits of a sketch; candidates that differ in more than FAR_BITS are no links (13 are expected at cosine 0.95, 64 at 0).
+SKETCH_BITS, FAR_BITS = 128, 40
+
+
+def axes_for(classes: int, width: int) -> int:
+    """Axes of a hash for so many vectors of ``width`` numbers."""
+    for axes, (tables, probes) in SHAPES.items():
+        if 2 * classes * tables * (1 + probes) <= CHANCE * (2 * padded(width)) ** axes:
+            return axes
+    return max(SHAPES)
+
+
+def padded(width: int) -> int:
+    return max(2, 1 << (width - 1).bit_length())
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """The unnormalised Hadamard transform of each row; the width is a power of two."""
-    n, step = x.shape[1], 1
-    while step < n:
-        x = x.reshape(len(x), -1, 2, step)
-        x = np.concatenate([x[:, :, :1] + x[:, :, 1:], x[:, :, :1] - x[:, :, 1:]], axis=2).reshape(len(x), n)
+    """The unnormalised Hadamard transform of each column, in place; the height is a power of two."""
+    step = 1
+    while step < len(x):
+        v = x.reshape(len(x) // (2 * step), 2, step, -1)
+        total = v[:, 0] + v[:, 1]
+        v[:, 1] = v[:, 0] - v[:, 1]
+        v[:, 0] = total
         step *= 2
     return x
 
 
-def buckets(x: np.ndarray, tables: int = TABLES, axes: int = AXES, probes: int = PROBES) -> np.ndarray:
+def rotated(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Columns after a pseudo-random rotation."""
+    y = x
+    for _ in range(3):
+        y = hadamard(y * rng.choice([-1.0, 1.0], size=(len(x), 1)))
+        y /= math.sqrt(len(x))
+    return y
+
+
+def _columns(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((padded(x.shape[1]), len(x)))
+    out[: x.shape[1]] = x.T
+    return out
+
+
+def buckets(x: np.ndarray, axes: int, tables: int | None = None, probes: int | None = None) -> np.ndarray:
     """For each row and table the own bucket and the probed ones: rows x tables x (1 + probes)."""
+    tables, probes = SHAPES[axes][0] if tables is None else tables, SHAPES[axes][1] if probes is None else probes
     n, d = x.shape
-    width = max(2, 1 << (d - 1).bit_length())
-    padded = np.zeros((n, width))
-    padded[:, :d] = x
+    columns = _columns(x)
+    width = len(columns)
     rng = np.random.default_rng([SEED, d])
-    out = np.zeros((n, tables, 1 + probes), dtype=np.int64)
+    row = np.arange(n)
+    # Changes of some axes to their second nearest.
+    subsets = np.array(sorted(range(1, 2**axes), key=lambda s: (s.bit_count(), s)))
+    out = np.zeros((n, tables, 1 + min(probes, len(subsets))), dtype=np.uint64)
     for t in range(tables):
-        best, second, loss = [], [], []
-        for _ in range(axes):
-            y = padded
-            for _ in range(3):
-                y = hadamard(y * rng.choice([-1.0, 1.0], size=width))
-                y /= np.sqrt(width)
+        choices = np.empty((axes, n, 2), dtype=np.int64)
+        loss = np.empty((axes, n))
+        for a in range(axes):
+            y = rotated(columns, rng).T.copy()
             size = np.abs(y)
-            top = np.argpartition(-size, 1, axis=1)[:, :2]
-            order = np.argsort(-np.take_along_axis(size, top, 1), axis=1, kind="stable")
-            top = np.take_along_axis(top, order, 1)
-            value = np.take_along_axis(y, top, 1)
-            code = top * 2 + (value < 0)
-            best.append(code[:, 0])
-            second.append(code[:, 1])
-            loss.append(np.abs(value[:, 0]) - np.abs(value[:, 1]))
-        choices = np.stack([best, second], axis=2)  # axes x rows x 2
-        loss = np.stack(loss)
-        # Changes of some axes to their second, by the sum of what they lose.
-        subsets = sorted(range(1, 2**axes), key=lambda s: (s.bit_count(), s))
-        total = np.stack([sum(loss[a] for a in range(axes) if s >> a & 1) for s in subsets], axis=1)
-        ranked = np.argsort(total, axis=1, kind="stable")[:, :probes]
-        swaps = np.concatenate([np.zeros((n, 1), dtype=np.int64), np.array(subsets)[ranked]], axis=1)
-        key = np.full(swaps.shape, t, dtype=np.int64)
+            first = size.argmax(axis=1)
+            top = size[row, first]
+            size[row, first] = -1.0
+            second = size.argmax(axis=1)
+            loss[a] = top - size[row, second]
+            choices[a, :, 0] = first * 2 + (y[row, first] < 0)
+            choices[a, :, 1] = second * 2 + (y[row, second] < 0)
+        # Probes in order of what their axes lose in all.
+        total = np.stack([sum(loss[a] for a in range(axes) if s >> a & 1) for s in subsets.tolist()], axis=1)
+        swaps = np.concatenate([np.zeros((n, 1), dtype=np.int64), subsets[np.argsort(total, axis=1, kind="stable")[:, :probes]]], axis=1)
+        key = np.full(swaps.shape, t * 65536 + d, dtype=np.uint64)
         for a in range(axes):
-            key = key * (2 * width) + np.where(swaps >> a & 1, choices[a, :, 1:2], choices[a, :, 0:1])
-        out[:, t, : key.shape[1]] = key
+            key = mix(key * np.uint64(2 * width) + np.where(swaps >> a & 1, choices[a, :, 1:2], choices[a, :, 0:1]).astype(np.uint64))
+        out[:, t, :] = key
     return out
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64)
+def sketches(x: np.ndarray) -> np.ndarray:
+    """The signs of each row after rotations: two numbers of 64 bits each; zeros for short vectors, which few rotations tell apart."""
+    if x.shape[1] < 16:
+        return np.zeros((len(x), 2), dtype=np.int64)
+    columns, rng = _columns(x), np.random.default_rng([SEED + 1, x.shape[1]])
+    signs = np.concatenate([rotated(columns, rng) >= 0 for _ in range(math.ceil(SKETCH_BITS / len(columns)))])[:SKETCH_BITS]
+    return np.packbits(signs, axis=0).T.copy().view(np.int64)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _classes(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, DataFrame]:
     """Rows (vec_id, key) for all vectors, key null if it cannot link; rows (key, rep, copies, v) for the classes."""
-    v = F.transform(F.col(vector), lambda x: x.cast("double"))
+    v = F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0))  # -0.0 equals 0.0
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
-    # The key is the vector's text, hashed twice: equal vectors, and only these, are one class. -0.0 equals 0.0.
-    shown = F.array_join(F.transform("v", lambda x: (x + F.lit(0.0)).cast("string")), ",")
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), v.alias("v")).withColumn("key", F.when(fine, F.substring(F.sha2(shown, 256), 1, 32)))
+    # Two hashes of 64 bits that have nothing in common: equal vectors, and only these, are one class.
+    part = lambda seed: F.lpad(F.hex(F.xxhash64(F.lit(seed), "v", F.size("v"))), 16, "0")
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), v.alias("v")).withColumn("key", F.when(fine, F.unhex(F.concat(part(1), part(2)))))
     return rows.select("vec_id", "key"), rows.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
 
 
-def _filed(classes: DataFrame) -> DataFrame:
-    """Rows (key, bucket, own): where each class is filed (own) and where it probes."""
+def _hashed(classes: DataFrame, axes: dict[int, int]) -> DataFrame:
+    """Rows (key, rep, copies, u, s, t, own, probes): unit vectors, sketches, own and probed buckets."""
     ship(__name__)
 
     def run(batches):
         for b in batches:
-            keys, lists = np.array(b.column("key").to_pylist(), dtype=object), b.column("v").to_pylist()
-            lengths = np.array([len(x) for x in lists], dtype=np.int64)
-            for d in np.unique(lengths):
-                at = np.flatnonzero(lengths == d)
-                x = np.array([lists[i] for i in at], dtype=np.float64)
-                got = buckets(x / np.abs(x).max(axis=1, keepdims=True))
-                # Only vectors of one length may share a bucket.
-                flat = np.array([xxhash.xxh3_64_intdigest(k, seed=int(d)) for k in map(bytes, np.ascontiguousarray(got).reshape(-1, 1).view(np.uint8).reshape(-1, 8))], dtype=np.uint64).view(np.int64)
-                per = got.shape[1] * got.shape[2]
-                own = np.tile(np.arange(got.shape[2]) == 0, len(at) * got.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[at], per), pa.string()), pa.array(flat), pa.array(own)], names=["key", "bucket", "own"])
-
-    # A probe may lead home or twice to the same bucket.
-    return classes.select("key", "v").mapInArrow(run, "key string, bucket bigint, own boolean").groupBy("key", "bucket").agg(F.max("own").alias("own"))
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
-    """The pairs (a, b) with at least that cosine."""
-    ship(__name__)
-    sides = pairs.join(classes.select(F.col("key").alias("a"), F.col("v").alias("x")), "a").join(classes.select(F.col("key").alias("b"), F.col("v").alias("y")), "b").filter("size(x) = size(y)")
+            sizes = np.diff(b.column("v").offsets.to_numpy())
+            flat, starts = b.column("v").flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+            for d in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == d)
+                unit = _unit(flat[starts[at][:, None] + np.arange(d)])
+                key = buckets(unit, axes[d]).view(np.int64)
+                sketch = sketches(unit)
+                lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).reshape(-1)))
+                taken = [b.column(c).take(pa.array(at)) for c in ("key", "rep", "copies")]
+                made = [lists(unit), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), lists(key[:, :, 0]), lists(key[:, :, 1:].reshape(len(at), -1))]
+                yield pa.RecordBatch.from_arrays([*taken, *made], names=["key", "rep", "copies", "u", "s", "t", "own", "probes"])
 
-    def run(batches):
-        for b in batches:
-            x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
-            lengths = np.array([len(v) for v in x], dtype=np.int64)
-            keep = np.zeros(len(x), dtype=bool)
-            for d in np.unique(lengths):
-                at = np.flatnonzero(lengths == d)
-                keep[at] = _cosines(np.array([x[i] for i in at]), np.array([y[i] for i in at])) >= cosine
-            at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([b.column("a").take(at), b.column("b").take(at)], names=["a", "b"])
+    rep = classes.schema["rep"].dataType.simpleString()
+    return classes.mapInArrow(run, f"key binary, rep {rep}, copies bigint, u array<double>, s bigint, t bigint, own array<bigint>, probes array<bigint>")
 
-    return sides.select("a", "b", "x", "y").mapInArrow(run, "a string, b string")
 
+def _filed(hashed: DataFrame) -> DataFrame:
+    """Rows (id, s, t, bucket, own): where each class is filed (own) and where it probes."""
+    row = lambda c, own: hashed.select("id", "s", "t", F.explode(c).alias("bucket"), F.lit(own).alias("own"))
+    return row("own", True).union(row(F.array_except("probes", "own"), False))
 
-def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
+def _hopeful(a: str, b: str) -> Column:
+    """Whether the sketches of the rows or structs ``a`` and ``b`` are near enough for a link."""
+    differ = lambda c: F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}")))
+    return differ("s") + differ("t") <= FAR_BITS
 
-def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (_unit(x) * _unit(y)).sum(axis=1)
+
+def _cosine(a: str, b: str) -> Column:
+    """Of two unit vectors."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def _confirmed(pairs: DataFrame, hashed: DataFrame, cosine: float) -> DataFrame:
+    """The pairs (a, b) with at least that cosine."""
+    sides = pairs.join(hashed.select(F.col("id").alias("a"), F.col("u").alias("x")), "a").join(hashed.select(F.col("id").alias("b"), F.col("u").alias("y")), "b")
+    return sides.filter("size(x) = size(y)").filter(_cosine("x", "y") >= cosine).select("a", "b")
 
 
 def _near(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
@@ -158,83 +196,96 @@ def _near(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
     near = product >= cosine
     # Right at the threshold, sums in another order could differ from the pairwise ones.
     for i, j in zip(*np.nonzero(np.abs(product - cosine) < 1e-12), strict=True):
-        near[i, j] = (x[i] * y[j]).sum() >= cosine
+        near[i, j] = np.add.accumulate(x[i] * y[j])[-1] >= cosine
     return near
 
 
-def _across_blocks(hosts: DataFrame, guests: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+def _across_blocks(hosts: DataFrame, guests: DataFrame, hashed: DataFrame, cosine: float) -> DataFrame:
     """Links (a, b) of guests to hosts of the same ``grp`` in other components; of a block, one to each component."""
     ship(__name__)
-    rows = in_blocks(hosts, guests, BLOCK_ROWS).join(classes.select("key", "v"), "key").withColumn("d", F.size("v"))
+    rows = in_blocks(hosts, guests, BLOCK_ROWS, "id").join(hashed.select("id", "u"), "id").withColumn("d", F.size("u"))
 
     def check(pdf):
         own, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]
         found = []
         if len(own) and len(guests):
-            near = _near(_unit(np.stack(guests["v"])), _unit(np.stack(own["v"])), cosine)
+            near = _near(np.stack(guests["u"]), np.stack(own["u"]), cosine)
             near &= guests["component"].to_numpy()[:, None] != own["component"].to_numpy()[None, :]
-            names, part = own["key"].tolist(), pd.factorize(own["component"])[0]
-            for key, row in zip(guests["key"], near, strict=True):
+            names, part = own["id"].to_numpy(), pd.factorize(own["component"])[0]
+            for key, row in zip(guests["id"], near, strict=True):
                 hit = np.flatnonzero(row)
                 found += [(key, names[hit[i]]) for i in np.unique(part[hit], return_index=True)[1]]
-        return pd.DataFrame(found, columns=["a", "b"])
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return rows.groupBy("grp", "block", "chunk", "d").applyInPandas(check, "a bigint, b bigint")
 
-    return rows.groupBy("grp", "block", "chunk", "d").applyInPandas(check, "a string, b string")
 
+def _counted(members: DataFrame, hashed: DataFrame, cosine: float) -> DataFrame:
+    """Rows (id, others): for each class of a component (id, component) how many vectors link with each of its own.
 
-def _counted(members: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
-    """Rows (key, others): for each class of a component, how many vectors of its other classes it links with."""
+    Counted are the vectors of other classes and the class's own copies but one.
+    """
     ship(__name__)
-    plan = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = members.join(plan, "component").select("component", "key", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = placed.select("component", "key", F.col("own").alias("i"), every.alias("j"), F.lit(True).alias("asks"))
-    columns = placed.select("component", "key", every.alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"))
-    both = rows.union(columns).join(classes.select("key", "copies", "v"), "key")
+    m = cut(members.join(hashed.select("id", "copies", "u"), "id"))
+    sums = m.select("component", F.posexplode("u").alias("at", "x")).groupBy("component", "at").agg(F.sum("x").alias("x"))
+    centre = sums.groupBy("component").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("c"))  # a number for each of a vector's
+    centre = cut(centre.select("component", "c", F.sqrt(_cosine("c", "c")).alias("norm")))
+    # Two vectors within half the angle of the centre are within the angle of each other; the margin is for rounding.
+    within = F.lit(math.sqrt((1 + cosine) / 2) + 1e-9)
+    placed = m.join(centre, "component").withColumn("inner", _cosine("u", "c") >= within * F.col("norm"))
+    placed = cut(placed.select("id", "component", "copies", "inner"))
+    totals = placed.groupBy("component", apart("component")).agg(F.sum(F.when(F.col("inner"), F.col("copies")).otherwise(0)).alias("sure"), F.bool_or(~F.col("inner")).alias("open"))
+    placed = cut(placed.join(totals.drop("__apart"), "component"))
+    rim = in_blocks(placed.filter("open").withColumn("grp", F.col("component")), placed.filter(~F.col("inner")).withColumn("grp", F.col("component")), BLOCK_ROWS, "id")
+    rim = rim.join(m.select("id", "copies", "u"), "id").join(placed.select("id", "inner"), "id").select("grp", "block", "chunk", "guest", "id", "copies", "inner", "u")
 
     def count(pdf):
-        asks, has = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        if not len(asks) or not len(has):
-            return pd.DataFrame({"key": [], "others": []})
-        x, y = _unit(np.stack(asks["v"])), _unit(np.stack(has["v"]))
-        near = _near(x, y, cosine)
-        near &= asks["key"].to_numpy()[:, None] != has["key"].to_numpy()[None, :]
-        return pd.DataFrame({"key": asks["key"], "others": near @ has["copies"].to_numpy()})
+        hosts, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]
+        if not len(hosts) or not len(guests):
+            return pd.DataFrame({"id": [], "others": []}, dtype=np.int64)
+        near = _near(np.stack(guests["u"]), np.stack(hosts["u"]), cosine) & (guests["id"].to_numpy()[:, None] != hosts["id"].to_numpy()[None, :])
+        back = hosts["inner"].to_numpy()  # the outer ones are guests themselves
+        own = pd.DataFrame({"id": guests["id"], "others": near @ hosts["copies"].to_numpy()})
+        return pd.concat([own, pd.DataFrame({"id": hosts["id"][back], "others": guests["copies"].to_numpy() @ near[:, back]})])
 
-    return both.groupBy("component", "i", "j").applyInPandas(count, "key string, others bigint").groupBy("key").agg(F.sum("others").alias("others"))
+    sure = placed.select("id", (F.when(F.col("inner"), F.col("sure")).otherwise(F.col("copies")) - 1).alias("others"))
+    return sure.union(rim.groupBy("grp", "block", "chunk").applyInPandas(count, "id bigint, others bigint")).groupBy("id").agg(F.sum("others").alias("others"))
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept) for each vector."""
     rows, classes = _classes(vectors, vec_id, vector)
     classes = cut(classes)
-    filed = cut(_filed(classes))
-    centres = cut(filed.groupBy("bucket").agg(F.min(F.when(F.col("own"), F.col("key"))).alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1 and centre is not null").drop("n"))
+    lengths = {r["d"]: r["n"] for r in classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each length of vector
+    hashed = cut(_hashed(classes, {d: axes_for(n, d) for d, n in lengths.items()}).withColumn("id", F.monotonically_increasing_id()))
+    filed = _filed(hashed)
+    centres = filed.groupBy("bucket", apart("bucket")).agg(F.min(F.when(F.col("own"), F.struct("id", "s", "t"))).alias("c"), F.count(F.lit(1)).alias("n")).filter("n > 1 and c is not null").select("bucket", "c")
     shared = cut(filed.join(centres, "bucket"))
-    order: list[Column] = [F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")]
-    links = cut(_confirmed(shared.filter("key <> centre").select(*order).distinct(), classes, cosine))
-    first = connected_components(links, "a", "b").withColumnRenamed("node", "key")
-
-    placed = cut(shared.drop("centre").join(first, "key", "left").withColumn("component", F.coalesce("component", "key")))
-    counted = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = counted.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    outside = cut(placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main").drop("main"))
+    star = shared.filter(F.col("id") != F.col("c.id")).filter(_hopeful("", "c.")).select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
+    links = cut(_confirmed(star, hashed, cosine))
+    first = connected_components(links, "a", "b").withColumnRenamed("node", "id")
+
+    placed = cut(shared.drop("c").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    counted = cut(placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size")))
+    mixed = counted.groupBy("bucket", apart("bucket")).agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size")).filter("parts > 1")
+    mixed = cut(mixed.select("bucket", F.col("largest.component").alias("main"), (F.col("size") >= LARGE).alias("busy")))
+    there = cut(placed.join(mixed, "bucket"))
+    outside = there.filter("component <> main")
     # Buckets with many members are compared in blocks, the others pair by pair.
-    busy = cut(counted.groupBy("bucket").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("parts")).filter((F.col("parts") > 1) & (F.col("size") >= LARGE)).select("bucket"))
-    by_bucket = lambda df: df.join(busy, "bucket", "left_semi").select(F.col("bucket").alias("grp"), "component", "key")
-    blocks = _across_blocks(by_bucket(placed), by_bucket(outside), classes, cosine)
-    other = placed.join(busy, "bucket", "left_anti").select("bucket", F.col("key").alias("other"), F.col("component").alias("theirs"), F.col("own").alias("filed"))
-    across = outside.join(other, "bucket").filter(F.col("component") != F.col("theirs")).filter("own or filed")
-    across = across.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    more = cut(_confirmed(across, classes, cosine).union(blocks))
-    final = cut(connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key"))
-
-    joined = classes.select("key", "rep", "copies").join(final, "key", "left").join(_counted(final, classes, cosine), "key", "left")
-    joined = joined.select("key", "rep", F.coalesce("component", "key").alias("component"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    # Written, so that both sides of the next join are plain shuffles and a large component can be split.
-    joined = cut(joined)
-    least = cut(joined.groupBy("component").agg(F.min("rep").alias("component_id")))
-    labels = joined.join(least, "component").select("key", "n_links", "component_id")
+    in_busy = lambda df: df.filter("busy").select(F.col("bucket").alias("grp"), "component", "id")
+    blocks = _across_blocks(in_busy(there), in_busy(outside), hashed, cosine)
+    other = there.filter("not busy").select("bucket", F.struct("id", "s", "t", "component", "own").alias("o"))
+    across = outside.filter("not busy").join(other, "bucket").filter(F.col("component") != F.col("o.component")).filter("own or o.own").filter(_hopeful("", "o."))
+    across = across.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
+    more = cut(_confirmed(across, hashed, cosine).union(blocks))
+    final = cut(connected_components(links.union(more), "a", "b").withColumnRenamed("node", "id"))
+
+    named = final.join(hashed.select("id", "key", "rep"), "id").join(_counted(final, hashed, cosine), "id")
+    named = cut(named.select("component", "key", "rep", "others"))
+    least = named.groupBy("component", apart("component")).agg(F.min("rep").alias("component_id"))
+    linked = cut(named.join(least, "component").select("key", "others", "component_id"))
+    alone = classes.join(linked, "key", "left_anti").filter("copies > 1").select("key", (F.col("copies") - 1).alias("others"), F.col("rep").alias("component_id"))
+    labels = cut(linked.union(alone))
     result = rows.join(labels, "key", "left")
-    component = F.when(F.col("vec_id").isNotNull(), F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")))
-    return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
+    return result.select("vec_id", F.coalesce("others", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

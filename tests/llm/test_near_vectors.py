@@ -62,7 +62,7 @@ def test_against_all_pairs(spark, monkeypatch, large):
 
 def test_busy_bucket_of_vectors_that_do_not_link(spark, monkeypatch):
     """Vectors around one centre that share buckets, most below the threshold, are compared in blocks and all links found."""
-    monkeypatch.setattr(V, "_filed", lambda classes: classes.select("key", F.lit(0).cast("long").alias("bucket"), F.lit(True).alias("own")))
+    monkeypatch.setattr(V, "_filed", lambda hashed: hashed.select("id", "s", "t", F.lit(0).cast("long").alias("bucket"), F.lit(True).alias("own")))
     monkeypatch.setattr(V, "BLOCK_ROWS", 32)
     rng = np.random.default_rng(5)
     centre = rng.normal(size=64)
@@ -72,26 +72,53 @@ def test_busy_bucket_of_vectors_that_do_not_link(spark, monkeypatch):
     assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
 
 
-def test_recall_at_the_threshold():
-    """Pairs with a cosine of just 0.95 meet in some bucket."""
+def at_cosine(cosine, n=2000, d=64):
     rng = np.random.default_rng(3)
-    a = rng.normal(size=(2000, 64))
+    a = rng.normal(size=(n, d))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    n = rng.normal(size=a.shape)
-    n -= (n * a).sum(axis=1, keepdims=True) * a
-    n /= np.linalg.norm(n, axis=1, keepdims=True)
-    b = 0.9501 * a + np.sqrt(1 - 0.9501**2) * n
-    x, y = V.buckets(a), V.buckets(b)
+    b = rng.normal(size=a.shape)
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b
+
+
+@pytest.mark.parametrize("axes", V.SHAPES)
+def test_recall_at_the_threshold(axes):
+    """Pairs with a cosine of just 0.95 meet in some bucket, and their sketches are near."""
+    a, b = at_cosine(0.9501)
+    x, y = V.buckets(a, axes), V.buckets(b, axes)
     met = (x[:, :, :1] == y).any(axis=(1, 2)) | (y[:, :, :1] == x).any(axis=(1, 2))
-    assert met.mean() > 0.99
+    assert met.mean() > 0.999
+    bits = lambda p, q: np.bitwise_count((V.sketches(p) ^ V.sketches(q)).view(np.uint64)).sum(axis=1)
+    assert bits(a, b).max() <= V.FAR_BITS - 4 and bits(a, a[::-1]).mean() > 60
+
+
+def test_axes_grow_with_the_classes():
+    assert [V.axes_for(n, 64) for n in (1, 50_000, 1_000_000, 50_000_000, 10**9)] == [3, 3, 4, 5, 5]
+
+
+def test_links_of_a_tight_group_are_counted_without_comparing_it(spark, monkeypatch):
+    """All within half the angle of the centre: no blocks at all; a few further out are compared with the rest."""
+    seen = []
+    blocks = V.in_blocks
+    monkeypatch.setattr(V, "in_blocks", lambda hosts, guests, rows, key: seen.append(guests.count()) or blocks(hosts, guests, rows, key))
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=64)
+    tight = [(centre + 0.1 * rng.normal(size=64)).astype(np.float32).tolist() for _ in range(400)]
+    wide = [(centre + 0.24 * rng.normal(size=64)).astype(np.float32).tolist() for _ in range(30)]
+    for vectors, outer in ((tight, False), (tight + wide, True)):
+        rows = list(enumerate(vectors))
+        got = V.near_duplicates(spark.createDataFrame([(i, v, 0, "x", 9) for i, v in rows], SCHEMA)).collect()
+        assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == brute(rows)
+        assert (seen[-1] > 0) == outer and seen[-1] <= 60
 
 
 def test_transform_is_a_rotation():
-    x = np.random.default_rng(1).normal(size=(5, 16))
-    assert np.allclose(V.hadamard(V.hadamard(x)) / 16, x)
+    x = np.random.default_rng(1).normal(size=(16, 5))
+    assert np.allclose(V.hadamard(V.hadamard(x.copy())) / 16, x)
 
 
 @pytest.mark.parametrize("d", [1, 2, 3, 64, 100])
 def test_buckets_of_any_width(d):
     x = np.random.default_rng(d).normal(size=(4, d))
-    assert V.buckets(x).shape == (4, V.TABLES, 1 + V.PROBES)
+    assert V.buckets(x, 3).shape == (4, V.SHAPES[3][0], 1 + V.SHAPES[3][1])
