@@ -15,8 +15,12 @@ So every candidate pair is confirmed or lies within one component already.
 
 Edge cases: texts without words, null and empty ones have an empty set and link with
 nothing; shorter texts than a shingle have one shingle of all their words. Rows without
-an id take part in no group, and their component is null. Equal rows stay equal rows.
-Extra columns are not read. An empty table gives an empty result.
+an id are compared like others, but give a group no name: their component is null where
+no member has an id. Equal rows stay equal rows; rows that share an id and not a text
+are documents of their own. Extra columns are not read. An empty table gives an empty
+result. ``deduplicated`` keeps one row of each group: that of the smallest id (one with
+an id, if any has), of these the text with the smallest hash, of rows equal in both the
+first by all columns. Rows without words all stay.
 """
 
 from __future__ import annotations
@@ -30,10 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.operators.components import connected_components
-from sievemark.plans.tables import cut
+from sievemark.plans.tables import apart, cut
 
 from .bpe import blocks
-from .common import in_blocks, ship
+from .common import in_blocks, mix, ship
 
 #: Bands and places of a band: 0.8 alike misses all bands once in 1600 pairs, 0.85 once in 300,000, 0.9 never to speak of.
 BANDS, ROWS = 40, 8
@@ -44,14 +48,6 @@ MOST_WORDS = 250_000
 #: Components and buckets with so many classes are compared in blocks of so many rows.
 LARGE, BLOCK_ROWS = 64, 256
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    h = (h ^ (h >> np.uint64(30))) * M1
-    h = (h ^ (h >> np.uint64(27))) * M2
-    return h ^ (h >> np.uint64(31))
 
 
 class Hashes(dict):
@@ -115,43 +111,48 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def signatures(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Rows (doc_id, n_shingles, key, buckets): key identifies the set (null if empty), buckets are its bands."""
+    """Rows (doc_id, text_hash, n_shingles, key, buckets): key identifies the set (null if empty), buckets are its bands."""
     ship(__name__)
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType(), False))])
+    named = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
+    schema = T.StructType([*named.schema.fields[:2], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType(), False))])
 
     def run(batches):
         for batch in batches:
-            for b in blocks(batch, text, BLOCK):
-                sets = shingle_sets([t or "" for t in b.column(text).to_pylist()], width)
+            for b in blocks(batch, "text", BLOCK):
+                sets = shingle_sets([t or "" for t in b.column("text").to_pylist()], width)
                 full = [s for s in sets if len(s)]
                 keys = iter(band_keys(sketches(full, bands * rows), bands, rows).view(np.int64))
                 lists = [next(keys) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(doc_id), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists])))],
+                    [b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists])))],
                     names=schema.fieldNames(),
                 )
 
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return named.mapInArrow(run, schema)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
-    """Rows (key, items) for the classes in ``wanted`` (rep, key), from their representative's text."""
+    """Rows (id, items) for the classes in ``wanted`` (id, key, rep, text_hash), from their first document's text."""
     ship(__name__)
-    d = docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(wanted, "rep").select("text", "key")
+    d = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("hash"), F.col(text).alias("text"))
+    d = d.join(wanted, (d["hash"] == wanted["text_hash"]) & d["doc_id"].eqNullSafe(wanted["rep"])).select("text", "id", "key")
 
     def run(batches):
         for batch in batches:
             for b in blocks(batch, "text", BLOCK):
                 sets = shingle_sets([t or "" for t in b.column("text").to_pylist()], width)
-                keys = b.column("key").to_pylist()
-                own = [(k, s.view(np.int64)) for k, s in zip(keys, sets, strict=True) if xxhash.xxh3_128_digest(s.tobytes()) == k]
+                own = [(i, s.view(np.int64)) for i, k, s in zip(b.column("id").to_pylist(), b.column("key").to_pylist(), sets, strict=True) if xxhash.xxh3_128_digest(s.tobytes()) == k]
                 offsets = np.concatenate([[0], np.cumsum([len(s) for _, s in own])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *[s for _, s in own]])))], names=["key", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in own], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *[s for _, s in own]])))], names=["id", "items"])
 
-    # Rows that share an id may give a class twice.
-    return d.mapInArrow(run, "key binary, items array<bigint>").groupBy("key").agg(F.first("items").alias("items"))
+    # Repeated rows give a class more than once.
+    return d.mapInArrow(run, "id bigint, items array<bigint>").groupBy("id").agg(F.first("items").alias("items"))
 
 
 def _can_link(n: Column, m: Column, similar: int) -> Column:
@@ -161,7 +162,7 @@ def _can_link(n: Column, m: Column, similar: int) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs (a, b) that are similar enough on their full sets."""
-    joined = pairs.join(sets.select(F.col("key").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("items").alias("y")), "b")
+    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y")).cast("long")
     return joined.withColumn("both", both).filter(F.lit(100) * F.col("both") >= F.lit(similar) * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
@@ -169,75 +170,96 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def _in_blocks(hosts: DataFrame, guests: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """Links (a, b) of guests to hosts of the same ``grp`` in other components; of a block, one to each component.
 
-    Both are rows (grp, component, key). Pairs are not listed: blocks of hosts meet blocks of guests.
+    Both are rows (grp, component, id). Pairs are not listed: blocks of hosts meet blocks of guests.
     """
     ship(__name__)
-    rows = in_blocks(hosts, guests, BLOCK_ROWS).join(sets, "key")
+    rows = in_blocks(hosts, guests, BLOCK_ROWS, "id").join(sets, "id")
 
     def check(pdf):
         own, guests = pdf[~pdf["guest"]], pdf[pdf["guest"]]
         found = []
         if len(own):
             flat, sizes = np.concatenate(list(own["items"])), own["items"].map(len).to_numpy()
-            of, names = np.repeat(np.arange(len(own)), sizes), own["key"].tolist()
+            of, names = np.repeat(np.arange(len(own)), sizes), own["id"].to_numpy()
             part = pd.factorize(own["component"])[0]
-            for key, mine, items in zip(guests["key"], guests["component"], guests["items"], strict=True):
+            for key, mine, items in zip(guests["id"], guests["component"], guests["items"], strict=True):
                 x = np.sort(items)
                 at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
                 both = np.bincount(of[x[at] == flat], minlength=len(own))
                 hit = np.flatnonzero((100 * both >= similar * (len(x) + sizes - both)) & (own["component"] != mine).to_numpy())
                 found += [(key, names[hit[i]]) for i in np.unique(part[hit], return_index=True)[1]]
-        return pd.DataFrame(found, columns=["a", "b"])
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return rows.groupBy("grp", "block", "chunk").applyInPandas(check, "a binary, b binary")
+    return rows.groupBy("grp", "block", "chunk").applyInPandas(check, "a bigint, b bigint")
 
 
 def components(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id): the smallest id reachable over links of similar documents."""
+    """Rows (doc_id, text_hash, n_shingles, component_id, chosen) for each document.
+
+    component_id is the smallest id reachable over links of similar documents; chosen are
+    the group's smallest id's rows with the smallest text hash, and rows without words.
+    """
     signed = cut(signatures(docs, width, doc_id, text))
-    known = signed.filter("key is not null and doc_id is not null")
-    classes = cut(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets")))
-    members = classes.select("key", "n", F.explode("buckets").alias("bucket"))
-    centres = members.groupBy("bucket").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    leader = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    classes = signed.filter("key is not null").groupBy("key").agg(F.min(leader).alias("leader"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
+    members = classes.select("id", "n", F.explode("buckets").alias("bucket"))
+    centres = members.groupBy("bucket", apart("bucket")).agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket", "c")
     shared = cut(members.join(centres, "bucket"))
-    sets = cut(_sets_of(docs, classes.select("rep", "key").join(shared.select("key").distinct(), "key"), width, doc_id, text))
-    sizes = classes.select(F.col("key").alias("centre"), F.col("n").alias("m"))
-    star = shared.filter("key <> centre").select("key", "n", "centre").distinct().join(sizes, "centre")
-    star = star.filter(_can_link(F.col("n"), F.col("m"), similar)).select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    wanted = classes.select("id", "key", F.col("leader.doc_id").alias("rep"), "leader.text_hash").join(shared.select("id").distinct(), "id")
+    sets = cut(_sets_of(docs, cut(wanted), width, doc_id, text))
+    star = shared.filter(F.col("id") != F.col("c.id")).filter(_can_link(F.col("n"), F.col("c.n"), similar)).select(F.col("id").alias("a"), F.col("c.id").alias("b")).distinct()
     links = cut(_confirmed(star, sets, similar))
-    first = connected_components(links, "a", "b")
+    first = connected_components(links, "a", "b").withColumnRenamed("node", "id")
 
-    placed = cut(shared.select("bucket", "key", "n").join(first.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
-    counted = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = counted.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    placed = cut(shared.select("bucket", "id", "n").join(first, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    counted = cut(placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size")))
+    largest = counted.groupBy("bucket", apart("bucket")).agg(F.max(F.struct("size", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     outside = cut(placed.join(largest.select("bucket", F.col("largest.component").alias("main")), "bucket").filter("component <> main").drop("main"))
     # Members outside against large components, in blocks of those.
     large = cut(first.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= LARGE).select("component"))
     near = counted.join(large, "component", "left_semi").select("bucket", F.col("component").alias("grp"))
-    hosts = first.join(large, "component", "left_semi").select(F.col("component").alias("grp"), "component", F.col("node").alias("key"))
-    guests = outside.join(near, "bucket").filter("component <> grp").select("grp", "component", "key").distinct()
+    hosts = first.join(large, "component", "left_semi").select(F.col("component").alias("grp"), "component", "id")
+    guests = cut(outside.join(near, "bucket").filter("component <> grp").select("grp", "component", "id").distinct())
     found = [_in_blocks(hosts, guests, sets, similar)]
     # Against the others: in blocks where a bucket holds many, else pair by pair.
     rest = cut(placed.join(large, "component", "left_anti"))
     busy = cut(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= LARGE).select("bucket"))
-    by_bucket = lambda df: df.join(busy, "bucket", "left_semi").select(F.col("bucket").alias("grp"), "component", "key")
+    by_bucket = lambda df: df.join(busy, "bucket", "left_semi").select(F.col("bucket").alias("grp"), "component", "id")
     found.append(_in_blocks(by_bucket(rest), by_bucket(outside), sets, similar))
-    other = rest.join(busy, "bucket", "left_anti").select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
+    other = rest.join(busy, "bucket", "left_anti").select("bucket", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
     across = outside.join(other, "bucket").filter(F.col("component") != F.col("theirs")).filter(_can_link(F.col("n"), F.col("m"), similar))
-    across = across.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
+    across = across.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
     more = cut(_confirmed(across, sets, similar).union(found[0]).union(found[1]))
-    final = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "key")
+    final = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "id")
 
-    # Written, so that both sides of the next join are plain shuffles and a large component can be split.
-    linked = cut(final.join(classes.select("key", "rep"), "key"))
-    least = cut(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
-    named = linked.join(least, "component").select("key", "component_id")
-    labels = classes.select("key", "rep").join(named, "key", "left").select("key", F.coalesce("component_id", "rep").alias("component_id"))
-    result = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(labels, "key", "left")
-    return result.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    # Written, so that both sides of the next joins are plain shuffles and a large component can be split.
+    linked = cut(final.join(classes.select("id", "leader"), "id"))
+    least = linked.groupBy("component", apart("component")).agg(F.min("leader").alias("leader"))
+    named = cut(linked.select("id", "component").join(least, "component").select("id", F.col("leader").alias("group")))
+    labels = cut(classes.select("id", "key", "leader").join(named, "id", "left").select("key", F.coalesce("group", "leader").alias("group")))
+    result = signed.select("doc_id", "text_hash", "n_shingles", "key").join(labels, "key", "left")
+    empty = F.col("key").isNull()
+    chosen = empty | F.col("doc_id").eqNullSafe(F.col("group.doc_id")) & (F.col("text_hash") == F.col("group.text_hash"))
+    return result.select("doc_id", "text_hash", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("group.doc_id")).alias("component_id"), chosen.alias("chosen"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``components`` with kept: the group's smallest id stays. Rows without id have no component and are kept."""
+    """Rows (doc_id, n_shingles, component_id, kept): kept are the rows of the group's smallest id, or all if none has one."""
     c = components(docs, width, similar, doc_id, text)
-    return c.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return c.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group one row stays, unchanged."""
+    c = cut(components(docs, width, similar, doc_id, text))
+    who = lambda df: df.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"))
+    # The columns travel in one, so none of their names can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("r_id"), text_hash(text).alias("r_hash"))
+    same = (F.col("r_hash") == F.col("g_hash")) & F.col("r_id").eqNullSafe(F.col("g_id"))
+    stay = rows.join(who(c.filter("not chosen")).distinct(), same, "left_anti")
+    again = cut(who(c.filter("chosen and n_shingles > 0")).groupBy("g_id", "g_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    if not again.isEmpty():
+        one = stay.join(again, same, "left_semi").groupBy("r_id", "r_hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        stay = stay.join(again, same, "left_anti").select("row").union(one.select("row"))
+    return stay.select("row.*")

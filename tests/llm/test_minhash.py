@@ -8,6 +8,7 @@ from sievemark.llm import minhash as M
 
 from .texts import SCHEMA, odd_rows, prose
 
+PLAIN = ["doc_id", "n_shingles", "component_id"]
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -29,7 +30,7 @@ def brute(rows, width):
     for i, (d, a) in enumerate(sets):
         for j in range(i):
             b = sets[j][1]
-            if a and b and d is not None and sets[j][0] is not None:
+            if a and b:
                 both = len(a & b)
                 if 100 * both >= 80 * (len(a) + len(b) - both):
                     root[find(i)] = find(j)
@@ -67,7 +68,7 @@ def near_rows(seed=2):
 @pytest.mark.parametrize("width", [2, 5])
 def test_groups_against_all_pairs(spark, width):
     rows = near_rows()
-    got = M.components(spark.createDataFrame(rows, "doc_id long, text string"), width).collect()
+    got = M.components(spark.createDataFrame(rows, "doc_id long, text string"), width).select(*PLAIN).collect()
     assert Counter(map(tuple, got)) == brute(rows, width)
     assert len({r["component_id"] for r in got}) < len(rows) - 40
 
@@ -76,14 +77,27 @@ def test_large_components_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(M, "LARGE", 4)
     monkeypatch.setattr(M, "BLOCK_ROWS", 3)
     rows = near_rows(9)
-    assert Counter(map(tuple, M.components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())) == brute(rows, 2)
+    assert Counter(map(tuple, M.components(spark.createDataFrame(rows, "doc_id long, text string"), 2).select(*PLAIN).collect())) == brute(rows, 2)
 
 
 def test_odd_rows(spark):
     df = spark.createDataFrame(odd_rows(), SCHEMA)
-    assert Counter(map(tuple, M.components(df, 2).collect())) == brute([r[:2] for r in odd_rows()], 2)
+    assert Counter(map(tuple, M.components(df, 2).select(*PLAIN).collect())) == brute([r[:2] for r in odd_rows()], 2)
     assert M.components(df.limit(0), 2).count() == 0
-    assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in M.near_duplicates(df, 2).collect())
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in M.near_duplicates(df, 2).collect())
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows that share an id and not a text both stay; copies with and without ids, and equal rows, leave one; clashing columns pass."""
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "alpha beta gamma delta epsilon"
+    rows = [(1, a, "x"), (1, b, "y"), (2, a.upper(), "z"), (3, c, "q"), (3, c, "p"), (None, b, "n"), (None, "", "e"), (None, "", "e"), (5, None, "e"), (None, "free text without any id here", "n"), (None, "free text without any id here", "m")]
+    for extra in ("row", "id", "g_id", "text_hash", "key"):
+        df = spark.createDataFrame(rows, f"doc_id long, text string, {extra} string")
+        got = M.deduplicated(df)
+        assert got.columns == df.columns
+        assert Counter(map(tuple, got.collect())) == Counter([(1, a, "x"), (1, b, "y"), (3, c, "p"), (None, "", "e"), (None, "", "e"), (5, None, "e"), (None, "free text without any id here", "m")])
+        if extra == "row":
+            assert M.deduplicated(df.limit(0)).count() == 0
 
 
 def test_sketch_fills_and_estimates():
