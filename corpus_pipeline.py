@@ -41,10 +41,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; of rows with one id, one."""
-    gone = minhash.near_duplicates(docs, width=5).filter(~F.col("kept")).select("doc_id").distinct()
-    with_id = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    """Keeps one document of each group, that with the smallest id."""
+    return minhash.deduplicated(docs, width=5)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
