@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import remembered, ship
 
 #: Characters of one block, and words that a worker remembers between blocks.
 BLOCK_CHARS, MOST_WORDS = 4_000_000, 400_000
@@ -68,9 +67,13 @@ class Ranks:
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.made[at], -1)
 
 
-@lru_cache(maxsize=2)
+#: What a worker remembers of rank files and words: plain tables, as tasks carry them along.
+RANKS: dict = {}
+ENCODERS: dict = {}
+
+
 def ranks(path: str) -> Ranks:
-    return Ranks(path)
+    return remembered(RANKS, path, lambda: Ranks(path), 2)
 
 
 def replay(words: list[bytes], table: Ranks) -> list[list[int]]:
@@ -223,9 +226,8 @@ def decode_ids(ids: np.ndarray, counts: np.ndarray, table: Ranks) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
+    return remembered(ENCODERS, (path, pattern), lambda: Encoder(path, pattern), 2)
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:

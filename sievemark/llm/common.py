@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -34,6 +35,15 @@ def ship(module: str) -> None:
             cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def remembered(table: dict, key, make: Callable, most: int):
+    """``table[key]``, made if it is missing; a table of ``most`` entries starts anew."""
+    if key not in table:
+        if len(table) >= most:
+            table.clear()
+        table[key] = make()
+    return table[key]
+
+
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
