@@ -52,3 +52,15 @@ def apart(*columns: str) -> Column:
     a key that holds many rows; it never does so where an aggregation uses the same shuffle.
     """
     return F.xxhash64(*columns).alias("__apart")
+
+
+#: What may be broadcast, by a count of its rows.
+BROADCAST_BYTES = 16_000_000
+
+
+def fitted(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """``df``, a written table, marked for broadcasting if its counted rows of so many bytes are few enough.
+
+    A join with it then leaves the other side where it is; beyond the size both sides are shuffled.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
