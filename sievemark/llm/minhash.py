@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.operators.components import connected_components
-from sievemark.plans.tables import apart, cut
+from sievemark.plans.tables import apart, cut, fitted
 
 from .bpe import blocks
 from .common import in_blocks, mix, ship
@@ -207,7 +207,7 @@ def components(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id:
     centres = members.groupBy("bucket", apart("bucket")).agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket", "c")
     shared = cut(members.join(centres, "bucket"))
     wanted = classes.select("id", "key", F.col("leader.doc_id").alias("rep"), "leader.text_hash").join(shared.select("id").distinct(), "id")
-    sets = cut(_sets_of(docs, cut(wanted), width, doc_id, text))
+    sets = cut(_sets_of(docs, fitted(cut(wanted)), width, doc_id, text))
     star = shared.filter(F.col("id") != F.col("c.id")).filter(_can_link(F.col("n"), F.col("c.n"), similar)).select(F.col("id").alias("a"), F.col("c.id").alias("b")).distinct()
     links = cut(_confirmed(star, sets, similar))
     first = connected_components(links, "a", "b").withColumnRenamed("node", "id")
@@ -257,7 +257,7 @@ def deduplicated(docs: DataFrame, width: int = 5, similar: int = SIMILAR, doc_id
     # The columns travel in one, so none of their names can clash.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("r_id"), text_hash(text).alias("r_hash"))
     same = (F.col("r_hash") == F.col("g_hash")) & F.col("r_id").eqNullSafe(F.col("g_id"))
-    stay = rows.join(who(c.filter("not chosen")).distinct(), same, "left_anti")
+    stay = rows.join(fitted(cut(who(c.filter("not chosen")).distinct())), same, "left_anti")
     again = cut(who(c.filter("chosen and n_shingles > 0")).groupBy("g_id", "g_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     if not again.isEmpty():
         one = stay.join(again, same, "left_semi").groupBy("r_id", "r_hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
