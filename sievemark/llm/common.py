@@ -22,6 +22,22 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+#: Values of an array that ``running`` passes over at once.
+RUN = 512
+
+
+def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array<bigint> what ``add`` makes of 0 and all before it; by blocks, as appending copies an array."""
+    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+    state = F.struct(zero.alias("at"), none.alias("out"))
+    step = lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")), lambda b: F.slice(values, b * RUN + 1, F.lit(RUN)))
+    inner = F.transform(blocks, lambda v: F.aggregate(v, state, step))
+    outer = F.aggregate(F.transform(inner, lambda x: x["at"]), state, step)["out"]
+    every = F.flatten(F.zip_with(inner, outer, lambda x, o: F.transform(x["out"], lambda y: add(o, y))))
+    return F.when(F.size(values) > 0, every).otherwise(none)
+
+
 def ship(module: str) -> None:
     """Let executors run ``module``'s functions even if they cannot import this package.
 

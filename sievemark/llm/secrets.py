@@ -10,8 +10,8 @@ Spans are code points, end exclusive, leftmost and non-overlapping for each kind
 
 Edge cases: a null text counts as empty; texts without secrets have no spans; equal
 rows are each scanned and kept; documents are keyed by id (by text where the id is
-null), so an id that several rows share only adds candidates. Extra columns are not
-read. An empty table gives an empty result.
+null), so an id that several rows share only adds candidates. Columns to be kept travel
+in one, so their names cannot clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import running
 from .trigrams import clauses
 
 
@@ -56,25 +57,21 @@ MORE = [
 ]
 RULES = BASE + MORE
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
+#: Code points of a piece of a text that is redacted.
+PIECE = 4096
 
 
 def find(text: Column, rule: Rule) -> Column:
     """All spans of ``rule`` in ``text``: the gaps between matches and the matches give the offsets."""
-    pattern = F.lit(rule.pattern)
+    matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     gaps = F.transform(F.split(text, rule.pattern, -1), lambda g: F.length(g).cast("bigint"))
-    sized = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.struct(F.length(m).cast("bigint").alias("n"), (F.length(F.regexp_extract(m, rule.pattern, rule.group)) if rule.group else F.length(m)).alias("g")))
-    pieces = F.zip_with(F.slice(gaps, 1, F.size(sized)), sized, lambda gap, m: F.struct(gap.alias("gap"), m["n"].alias("n"), m["g"].alias("g")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(None).cast(SPAN).alias("out"))
-    empty = F.array().cast(SPAN)
-
-    def step(acc, p):
-        begin = acc["at"] + p["gap"]
-        span = F.struct(F.lit(rule.kind).alias("kind"), begin.alias("start"), (begin + p["n"]).alias("end"))
-        held = F.coalesce(acc["out"], empty)
-        return F.struct((begin + p["n"]).alias("at"), F.when(p["g"] >= rule.least, F.array_append(held, span)).otherwise(held).alias("out"))
-
-    spans = F.coalesce(F.aggregate(pieces, start, step)["out"], empty)
-    return F.when(text.rlike(rule.pattern), spans).otherwise(empty)
+    sized = F.transform(matches, lambda m: F.struct(F.length(m).cast("bigint").alias("n"), (F.length(F.regexp_extract(m, rule.pattern, rule.group)) if rule.group else F.length(m)).alias("g")))
+    pieces = F.zip_with(F.slice(gaps, 1, F.size(sized)), sized, lambda gap, m: gap + m["n"])
+    before = running(pieces, lambda a, x: a + x)
+    ends = F.zip_with(before, pieces, lambda a, x: a + x)
+    every = F.zip_with(ends, sized, lambda end, m: F.struct(F.lit(rule.kind).alias("kind"), (end - m["n"]).alias("start"), end.alias("end"), (m["g"] >= rule.least).alias("ok")))
+    spans = F.transform(F.filter(every, lambda s: s["ok"]), lambda s: F.struct(s["kind"], s["start"], s["end"])).cast(SPAN)
+    return F.when(text.rlike(rule.pattern), spans).otherwise(F.array().cast(SPAN))
 
 
 def _key(doc_id: str, text: str) -> Column:
@@ -109,18 +106,39 @@ def in_order(spans: Column, rules: list[Rule]) -> Column:
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (doc_id, *carry, spans): for each document all its spans in order. ``carry`` names columns to keep."""
+    """Rows (doc_id, *carry, spans): for each document all its spans in order. ``carry`` names columns to keep; one named spans is replaced."""
+    kept = [c for c in carry if c not in (doc_id, "spans")]
+    found = scanned(docs.select(F.struct(doc_id, *kept).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), rules)
+    return found.select(F.col("row").getField(doc_id).alias(doc_id), *[F.col("row").getField(c).alias(c) for c in kept], "spans")
+
+
+def scanned(rows: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Rows (row, text, spans) from rows (row, doc_id, text): the document travels in ``row``, so no name can clash."""
     rules = rules or RULES
     queried = [r for r in rules if clauses(r.pattern)]
     whole = [r for r in rules if not clauses(r.pattern)]
-    t = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(_key(doc_id, text).alias("key"), doc_id, *[c for c in carry if c != doc_id], t.alias("__text"))
+    base = rows.select(_key("doc_id", "text").alias("key"), "row", F.coalesce("text", F.lit("")).alias("text"))
     if queried:
-        found = candidates(docs, queried, doc_id, text).withColumnRenamed("key", "__key")
-        base = base.join(found, F.col("key") == F.col("__key"), "left").drop("__key")
-    spans = [find(F.col("__text"), r) for r in whole]
-    spans += [F.when(F.array_contains("kinds", r.kind), find(F.col("__text"), r)).otherwise(F.array().cast(SPAN)) for r in queried]
-    return base.select(doc_id, *[c for c in carry if c != doc_id], in_order(F.concat(*spans), rules).alias("spans"))
+        base = base.join(candidates(rows, queried), "key", "left")
+    spans = [find(F.col("text"), r) for r in whole]
+    spans += [F.when(F.array_contains("kinds", r.kind), find(F.col("text"), r)).otherwise(F.array().cast(SPAN)) for r in queried]
+    return base.select("row", "text", in_order(F.concat(*spans), rules).alias("spans"))
+
+
+def redact(docs: DataFrame, rules: list[Rule] | None = None, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
+    """``docs`` with every secret replaced by its kind in brackets; ``n_chars`` names a column of lengths to keep right."""
+    found = scanned(docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), rules)
+    clean = found.select("row", (F.size("spans") > 0).alias("changed"), redacted(F.col("text"), F.col("spans")).alias("clean"))
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text:
+            return F.when(F.col("changed"), F.col("clean")).otherwise(old).alias(c)
+        if c == n_chars:
+            return F.when(F.col("changed"), F.length("clean").cast(docs.schema[c].dataType)).otherwise(old).alias(c)
+        return old.alias(c)
+
+    return clean.select(*[column(c) for c in docs.columns])
 
 
 def joined(spans: Column) -> Column:
@@ -130,14 +148,15 @@ def joined(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every stretch that spans cover replaced by ``[kind]`` of the stretch's first span."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        more = F.concat(acc["out"], gap, F.lit("["), s["kind"], F.lit("]"))
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(spans, start, step)
-    rest = F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    # The text in pieces, so that a part is found without passing over all before it.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def part(begin: Column, end: Column) -> Column:
+        at = F.sequence(F.floor(begin / PIECE), F.floor((end - 1) / PIECE))
+        cut = lambda k: F.substring(F.get(pieces, k.cast("int")), (F.greatest(begin - k * PIECE, F.lit(0)) + 1).cast("int"), F.least(end - k * PIECE, F.lit(PIECE)) - F.greatest(begin - k * PIECE, F.lit(0)).cast("int"))
+        return F.when(end > begin, F.array_join(F.transform(at, cut), "")).otherwise(F.lit(""))
+
+    reached = running(F.transform(spans, lambda s: s["end"]), F.greatest)  # a stretch begins where no earlier span reaches
+    shown = F.zip_with(spans, reached, lambda s, at: F.when(s["start"] >= at, F.concat(part(at, s["start"]), F.lit("["), s["kind"], F.lit("]"))).otherwise(F.lit("")))
+    rest = part(F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text).cast("bigint"))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(shown, ""), rest)).otherwise(text)

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from sievemark.llm import common as C
 from sievemark.llm import secrets as S
 from sievemark.llm.catalogue import op4_secrets
 from sievemark.llm.trigrams import clauses
@@ -69,3 +70,29 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, text), (2, "clean"), (3, None)], "doc_id long, text string")
     got = {r["doc_id"]: r["t"] for r in S.scan(df, carry=("text",)).select("doc_id", S.redacted(S.F.col("text"), S.F.col("spans")).alias("t")).collect()}
     assert got == {1: 'pass [assign]" and [access] end', 2: "clean", 3: None}
+
+
+def brute_redaction(text, rules):
+    out, at = "", 0
+    for span in brute(text, rules):
+        kind, start, end = span.split(":")
+        if int(start) >= at:
+            out += text[at : int(start)] + f"[{kind}]"
+        at = max(at, int(end))
+    return out + text[at:]
+
+
+def test_many_spans_and_clashing_names(spark, monkeypatch):
+    """Redaction over many blocks and pieces against brute force; columns of any name pass unchanged."""
+    monkeypatch.setattr(S, "PIECE", 50)
+    monkeypatch.setattr(C, "RUN", 7)
+    texts = [None, "", "clean", "😀 " + " ".join(f"token=abcdef{i} é" for i in range(300)), "x" * 120 + "password: " + "deadbeef" * 40 + "AKIA" + "Z" * 60 + " end", "secret=" + "ab12" * 20 + "=token:zzzzzz1"]
+    names = ["key", "kinds", "spans", "row", "text_", "clean", "changed", "trigram", "kind"]
+    df = spark.createDataFrame([(i, t, len(t or ""), *["v"] * len(names)) for i, t in enumerate(texts)] + [(3, texts[3], 7, *["w"] * len(names))], f"doc_id long, text string, n_chars int, {', '.join(f'{n} string' for n in names)}")
+    got = S.redact(df, n_chars="n_chars")
+    assert got.columns == df.columns
+    want = [(i, t and brute_redaction(t, S.RULES), "v") for i, t in enumerate(texts)] + [(3, brute_redaction(texts[3], S.RULES), "w")]
+    rows = got.collect()
+    assert sorted(((r["doc_id"], r["text"] or "", r["key"]) for r in rows)) == sorted((i, t or "", v) for i, t, v in want)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in rows if r["key"] == "v")
+    assert S.scan(df, carry=tuple(df.columns)).columns == [*[c for c in df.columns if c != "spans"], "spans"]
