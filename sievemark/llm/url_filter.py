@@ -24,8 +24,8 @@ from .common import ascii_lower
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 #: Hex digits of the digest on which expressions and rules are joined.
 PREFIX_DIGITS = 8
-#: More rules than this are joined by shuffling instead of broadcasting them.
-BROADCAST_RULES = 100_000
+#: A larger rule table is joined by shuffling instead of broadcasting it.
+BROADCAST_BYTES = 16_000_000
 
 
 def url_host(url: Column) -> Column:
@@ -46,39 +46,40 @@ def _digest(expression: Column) -> Column:
     return F.sha2(expression, 256)
 
 
-def rule_table(df: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
-    rows = [F.struct(F.lit(v).alias("verdict"), F.lit(h.lower()).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
-    t = df.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    rule = F.concat("host", "path")
-    digest = _digest(F.concat_ws("\n", "host", "path"))
-    # One verdict for a rule named twice: block wins.
-    t = t.groupBy(rule.alias("rule"), digest.alias("digest")).agg(F.max("verdict").alias("verdict"))
+def rule_table(rules: DataFrame) -> DataFrame:
+    """Rows (prefix, digest, rule, verdict) from rows (verdict, host, path); of a rule named twice block wins."""
+    named = rules.select("verdict", ascii_lower(F.col("host")).alias("host"), "path")
+    t = named.groupBy(F.concat("host", "path").alias("rule"), _digest(F.concat_ws("\n", "host", "path")).alias("digest")).agg(F.max("verdict").alias("verdict"))
     return t.select(F.substring("digest", 1, PREFIX_DIGITS).alias("prefix"), "digest", "rule", "verdict")
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url: str = "url", default: str = "allow") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame = RULES, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with columns host, path, rule (null if none fits) and verdict added.
 
-    A rule fits its host and all subdomains if the path starts with the rule's path;
-    of several the longest wins (as text ``host + path``; ties cannot differ in text).
+    ``rules`` are rows (verdict, host, path), few as a list or any number as a table. A rule
+    fits its host and all subdomains if the path starts with the rule's path; of several
+    the longest wins (as text ``host + path``; ties cannot differ in text).
     """
     made = ("host", "path", "rule", "verdict")
-    kept = pages.select(*[c for c in pages.columns if c not in made or c == url])
-    if not rules:
-        return kept.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url)), "rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    labels = max(h.count(".") + 1 for _, h, _ in rules)
-    lengths = sorted({len(p) for _, _, p in rules})
-    urls = pages.select(F.col(url).alias("u")).filter(F.col("u").isNotNull()).distinct()
+    # The other columns travel in one, so none of their names can clash.
+    kept = pages.select(F.struct(*[F.col(c) for c in pages.columns]).alias("row"), F.col(url).alias("url"))
+    if not isinstance(rules, DataFrame):
+        rules = pages.sparkSession.createDataFrame(list(rules), "verdict string, host string, path string")
+    table = rule_table(rules)
+    shape = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths"), F.sum(F.length("host") + F.length("path") + 80).alias("bytes")).first()
+    lengths = sorted(shape["lengths"])  # the lengths of a rule's path that occur
+    urls = kept.select(F.col("url").alias("u")).filter("u is not null").distinct()
     urls = urls.select("u", url_host(F.col("u")).alias("h"), url_path(F.col("u")).alias("p"))
     names = F.split("h", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(names), F.lit(labels))), lambda n: F.array_join(F.slice(names, F.size(names) - n + 1, n), "."))
-    prefixes = F.array_distinct(F.filter(F.array(*[F.substring("p", 1, n) for n in lengths]), lambda x: x.isNotNull()))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(names), F.lit(shape["labels"] or 1))), lambda n: F.array_join(F.slice(names, F.size(names) - n + 1, n), "."))
+    prefixes = F.array_distinct(F.transform(F.lit(lengths).cast("array<int>"), lambda n: F.substring("p", F.lit(1), n)))
     expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: _digest(F.concat_ws("\n", s, p)))))
     expanded = urls.select("u", F.explode(F.array_distinct(expressions)).alias("full")).withColumn("prefix", F.substring("full", 1, PREFIX_DIGITS))
-    table = rule_table(pages, rules)
-    hits = expanded.join(F.broadcast(table) if len(rules) <= BROADCAST_RULES else table, "prefix").filter("full = digest")
+    hits = expanded.join(F.broadcast(table) if (shape["bytes"] or 0) <= BROADCAST_BYTES else table, "prefix").filter("full = digest")
     best = hits.groupBy("u").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("best"))
-    best = best.select(F.col("u").alias("__u"), "best")
-    joined = kept.join(best, F.col(url) == F.col("__u"), "left")
-    result = joined.withColumns({"rule": F.col("best.rule"), "verdict": F.coalesce("best.verdict", F.lit(default))} if url not in made else {})
-    return result.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))}).drop("__u", "best")
+    joined = kept.join(best, F.col("url") == F.col("u"), "left")
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in pages.columns if c not in made], *_judged(default))
+
+
+def _judged(default: str) -> list[Column]:
+    return [url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")]
