@@ -5,13 +5,14 @@ The labels say only toxic or not, so the chain predicts finer categories first:
 with at least three such words) and ``toxic`` itself. Each model sees which
 discriminating words and beginnings of words a document holds, how many marker words,
 and the probabilities of the earlier categories. In training those come from folds that did not see the
-document, so later models learn how far earlier ones can be trusted.
+document: a fold's words, markers and targets are chosen without it too, so later models learn how far
+earlier ones can be trusted.
 
 Training takes at most ``MOST_ROWS`` labelled documents, chosen by a hash of the id.
 
 Edge cases: a null text counts as empty; a document without known words gets the
 base probability; labels that are null teach nothing, and of several labels for one
-document the largest counts; without both classes nothing is toxic. Equal texts get
+document the largest counts, of several texts with one id the first in order; without both classes nothing is toxic. Equal texts get
 equal scores. Extra columns pass through unless they bear an output's name. An
 empty table gives an empty result.
 """
@@ -104,48 +105,99 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+class Corpus:
+    """The training documents' words and their forms as numbered columns."""
+
+    def __init__(self, texts: list[str], toxic: list[int]):
+        unique = dict(zip(texts, toxic, strict=True))  # copies would leak between folds
+        self.y = np.array(list(unique.values()), dtype=float)
+        vocabulary, self.forms = {}, {}
+        doc, word, times, of_word, of_form = [], [], [], [], []
+        for i, t in enumerate(unique):
+            for w, n in Counter(WORD.findall(t.lower())).items():
+                if w not in vocabulary:
+                    vocabulary[w] = len(vocabulary)
+                    for f in forms(w):
+                        of_word.append(vocabulary[w])
+                        of_form.append(self.forms.setdefault(f, len(self.forms)))
+                doc.append(i)
+                word.append(vocabulary[w])
+                times.append(n)
+        self.doc, self.word, self.times = (np.array(x, dtype=np.int64) for x in (doc, word, times))
+        self.of_word, self.of_form = (np.array(x, dtype=np.int64) for x in (of_word, of_form))
+        self.n_words = len(vocabulary)
+        # Each document with each form that it holds, once.
+        sizes = np.bincount(self.of_word, minlength=self.n_words)
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[self.word]
+        at = np.repeat(starts[self.word], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        held = np.unique(np.repeat(self.doc, each) * len(self.forms) + self.of_form[at])
+        self.held_doc, self.held_form = np.divmod(held, max(1, len(self.forms)))
+        self.names = np.array(list(self.forms), dtype=object)
+
+    def chosen(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the documents ``rows`` alone: the forms that tell most, and which forms mark toxic documents."""
+        seen = rows[self.held_doc]
+        n = np.bincount(self.held_form[seen], minlength=len(self.forms))
+        bad = np.bincount(self.held_form[seen & (self.y[self.held_doc] > 0)], minlength=len(self.forms))
+        often = np.flatnonzero(n >= MARKER_DOCUMENTS)
+        share = self.y[rows].mean()
+        marks = np.zeros(len(self.forms), dtype=bool)
+        marks[often] = [bad[f] >= MARKER_DOCUMENTS and _wilson(bad[f], n[f]) >= MARKER_SHARE for f in often]
+        # How far a form's share of toxic documents is from the overall share, in standard errors.
+        gain = np.abs(bad[often] - n[often] * share) / np.sqrt(n[often] * max(1e-9, share * (1 - share)))
+        best = sorted(zip(-gain, self.names[often], often, strict=True))[:MOST_WORDS]
+        return np.array(sorted((f for _, _, f in best), key=lambda f: self.names[f]), dtype=np.int64), marks
+
+    def features(self, words: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Model.features`` for all documents, and the number of marker words of each."""
+        at = np.full(len(self.forms) + 1, -1)
+        at[words] = np.arange(len(words))
+        x = np.zeros((len(self.y), len(words) + 1))
+        place = at[self.held_form]
+        x[self.held_doc[place >= 0], place[place >= 0]] = 1.0
+        marked = np.bincount(self.of_word, weights=marks[self.of_form], minlength=self.n_words) > 0
+        hits = np.bincount(self.doc, weights=self.times * marked[self.word], minlength=len(self.y))
+        x[:, -1] = np.log1p(hits)
+        return x, hits
+
+    def targets(self, hits: np.ndarray) -> list[np.ndarray]:
+        """abusive, sustained and toxic."""
+        return [self.y * (hits >= 1), self.y * (hits >= 3), self.y]
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model:
-    unique = dict(zip(texts, toxic, strict=True))  # copies would leak between folds
-    texts, y = list(unique), np.array(list(unique.values()), dtype=float)
-    if len(set(y.tolist())) < 2:
+    """The chain. Each fold chooses its words, markers and targets without the fold's own documents."""
+    corpus = Corpus(texts, toxic)
+    n = len(corpus.y)
+    if len(set(corpus.y.tolist())) < 2:
         return Model()
-    bad, all_docs = Counter(), Counter()
-    for t, toxic_doc in zip(texts, y, strict=True):
-        held = {k for w in set(WORD.findall(t.lower())) for k in forms(w)}
-        all_docs.update(held)
-        if toxic_doc:
-            bad.update(held)
-    all_docs = Counter({w: k for w, k in all_docs.items() if k >= MARKER_DOCUMENTS})
-    markers = frozenset(w for w, n in bad.items() if n >= MARKER_DOCUMENTS and _wilson(n, all_docs[w]) >= MARKER_SHARE)
-    n, n_bad = len(texts), y.sum()
-
-    def gain(w: str) -> float:
-        """How far the word's share of toxic documents is from the overall share, in standard errors."""
-        return abs(bad[w] - all_docs[w] * n_bad / n) / math.sqrt(all_docs[w] * (n_bad / n) * (1 - n_bad / n))
-
-    words = sorted(all_docs, key=lambda w: (-gain(w), w))[:MOST_WORDS]
-    model = Model({w: i for i, w in enumerate(sorted(words))}, markers)
-    x = model.features(texts)
-    hits = np.expm1(x[:, -1]).round()
-    targets = [y * (hits >= 1), y * (hits >= 3), y]
+    everyone = np.ones(n, dtype=bool)
+    words, marks = corpus.chosen(everyone)
+    model = Model({w: i for i, w in enumerate(corpus.names[words].tolist())}, frozenset(corpus.names[marks].tolist()))
+    x, hits = corpus.features(words, marks)
     fold = np.arange(n) % FOLDS
-    for target in targets:
-        model.weights.append(_logistic(x, target))
+    parts = [fold != k for k in range(FOLDS) if (fold == k).any() and (fold != k).any()]
+    within = [corpus.features(*corpus.chosen(rows)) for rows in parts]
+    before = np.zeros((n, 0))  # probabilities of the earlier categories, by models that did not see the document
+    for i, target in enumerate(corpus.targets(hits)):
+        model.weights.append(_logistic(np.column_stack([x, before]), target))
         unseen = np.zeros(n)
-        for k in range(FOLDS):
-            if (fold == k).any():
-                unseen[fold == k] = _probability(x[fold == k], _logistic(x[fold != k], target[fold != k]))
-        x = np.column_stack([x, unseen])
+        for rows, (features, own_hits) in zip(parts, within, strict=True):
+            full = np.column_stack([features, before])
+            unseen[~rows] = _probability(full[~rows], _logistic(full[rows], corpus.targets(own_hits)[i][rows]))
+        before = np.column_stack([before, unseen])
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", most: int = MOST_ROWS) -> Model:
-    """Learns from at most ``most`` labelled documents, whole."""
-    known = labels.filter(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(F.max(toxic).alias("__y"))
-    chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(most)
-    rows = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id")).select("__id", F.coalesce(F.col(text), F.lit("")).alias("t"), "__y").collect()
-    rows.sort(key=lambda r: (r["__id"] * 2654435761 % 2**32, r["__id"], r["t"]))
-    return fit([r["t"] for r in rows], [int(r["__y"] > 0) for r in rows])
+    """Learns from at most ``most`` labelled documents, whole; of texts that share an id from the first."""
+    known = labels.select(F.col(doc_id).alias("id"), F.col(toxic).alias("y")).filter("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(most)
+    found = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), "id")  # at most ``most`` rows
+    rows = found.groupBy("id").agg(F.min("t").alias("t"), F.max("y").alias("y")).select(F.xxhash64("id", "t").alias("h"), "t", "y").collect()
+    rows.sort(key=lambda r: (r["h"], r["t"]))
+    return fit([r["t"] for r in rows], [int(r["y"] > 0) for r in rows])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
