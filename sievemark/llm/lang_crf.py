@@ -1,6 +1,6 @@
 """Language identification by a linear-chain conditional random field over words.
 
-Every word of a text gets a label by forward-backward over emission scores (affixes,
+A word is a run of letters, longer ones are cut. Every word of a text gets a label by forward-backward over emission scores (affixes,
 character n-grams, the word itself as learned lexicon) and learned transitions, so a
 text that switches languages is labelled stretch by stretch. The text's language is
 the label with the largest summed posterior.
@@ -20,6 +20,7 @@ empty result.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,13 @@ PER_LANG, SEQUENCE, STRETCH, STEPS, L2 = 150, 64, 24, 60, 1e-3
 BLOCK, MOST_WORDS = 3_000_000, 120_000
 #: Words whose features are made at once.
 CHUNK = 16_384
-WORDS = re.compile(r"[^\W\d_]+")
+#: What Python's word class has besides letters and decimal digits, as ranges: fractions, raised digits, letter numerals.
+_OTHERS = [c for c in range(sys.maxunicode + 1) if (x := chr(c)).isalnum() and not x.isalpha() and not x.isdecimal()]
+_STARTS = [i for i, c in enumerate(_OTHERS) if not i or _OTHERS[i - 1] != c - 1]
+_RANGES = "".join(f"{chr(_OTHERS[i])}-{chr(_OTHERS[j - 1])}" for i, j in zip(_STARTS, [*_STARTS[1:], len(_OTHERS)], strict=True))
+LETTER = rf"[^\W\d_{_RANGES}]"
+#: A run of letters that its head and tail hold whole, else pieces as long as the head, so that all of a text is read.
+WORDS = re.compile(rf"{LETTER}{{1,{HEAD + TAIL}}}(?!{LETTER})|{LETTER}{{1,{HEAD}}}")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,15 +139,33 @@ def posteriors(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tupl
     return out, pairs
 
 
+def _even_chains(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``posteriors`` of chains of one length, by place, chain and label: slices of a place lie together."""
+    step, pairs = np.exp(moves), np.zeros_like(moves)
+    alpha, out = np.empty_like(scores), np.empty_like(scores)
+    for t in range(len(scores)):
+        a = scores[t] if not t else (alpha[t - 1] @ step) * scores[t]
+        alpha[t] = a / a.sum(axis=1, keepdims=True)
+    b = np.ones_like(scores[0])
+    for t in range(len(scores) - 1, -1, -1):
+        p = alpha[t] * b
+        out[t] = p / p.sum(axis=1, keepdims=True)
+        if t:
+            right = scores[t] * b
+            b = right @ step.T
+            pairs += (alpha[t - 1] / (alpha[t - 1] * b).sum(axis=1, keepdims=True)).T @ right * step
+            b = b / b.sum(axis=1, keepdims=True)
+    return out, pairs
+
+
 def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     """Maximum likelihood with Adam; texts and labels of the training documents."""
     labels = sorted(set(langs))
     n = len(labels)
     docs = [(WORDS.findall(t.lower()), labels.index(x)) for t, x in zip(texts, langs, strict=True)]
     docs = [(w, y) for w, y in docs if w]
-    model = Model(labels, np.zeros((BUCKETS, n)), np.zeros((n, n)))
     if not docs or n < 2:
-        return model
+        return Model(labels, np.zeros((BUCKETS, n)), np.zeros((n, n)))
     rng = np.random.default_rng(seed)
     vocabulary: dict[str, int] = {}
     stretches = []
@@ -155,32 +180,30 @@ def fit(texts: list[str], langs: list[str], seed: int = 7) -> Model:
     word = np.concatenate([s for s, _ in stretches])
     gold = np.concatenate([np.full(len(s), y) for s, y in stretches])
     keep = len(word) // SEQUENCE * SEQUENCE or len(word)
-    word, gold = word[:keep], gold[:keep]
-    sizes = np.full(max(1, keep // SEQUENCE), min(SEQUENCE, keep))
+    # Rows are places in a chain, columns chains.
+    word, gold = (np.ascontiguousarray(x[:keep].reshape(-1, min(SEQUENCE, keep)).T) for x in (word, gold))
     f = features(list(vocabulary))
     scale = _scale(f)
     target = np.zeros((len(vocabulary), n))
-    np.add.at(target, (word, gold), 1.0)
-    follow = np.ones(keep, dtype=bool)
-    follow[:: sizes[0]] = False
+    np.add.at(target, (word.ravel(), gold.ravel()), 1.0)
     wanted = np.zeros((n, n))
-    np.add.at(wanted, (gold[:-1][follow[1:]], gold[1:][follow[1:]]), 1.0)
-    state = [np.zeros_like(model.weights), np.zeros_like(model.weights), np.zeros((n, n)), np.zeros((n, n))]
-    flat = f.ravel()
+    np.add.at(wanted, (gold[:-1].ravel(), gold[1:].ravel()), 1.0)
+    weights, moves = np.zeros((n, BUCKETS)), np.zeros((n, n))
+    state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros((n, n)), np.zeros((n, n))]
+    flat, places = f.ravel(), word.ravel()
     for i in range(1, STEPS + 1):
-        raw = sum(model.weights[f[:, j]] for j in range(f.shape[1])) * scale[:, None]
-        scores = np.exp(raw - raw.max(axis=1, keepdims=True))[word]
-        post, pairs = posteriors(scores, sizes, model.moves)
-        got = np.stack([np.bincount(word, weights=post[:, y], minlength=len(vocabulary)) for y in range(n)], axis=1)
+        raw = np.stack([w[f].sum(axis=1) for w in weights], axis=1) * scale[:, None]
+        post, pairs = _even_chains(np.exp(raw - raw.max(axis=1, keepdims=True))[word], moves)
+        got = np.stack([np.bincount(places, weights=post[:, :, y].ravel(), minlength=len(vocabulary)) for y in range(n)], axis=1)
         diff = (target - got) * scale[:, None] / keep
-        grad = np.stack([np.bincount(flat, weights=np.repeat(diff[:, y], f.shape[1]), minlength=BUCKETS) for y in range(n)], axis=1) - L2 * model.weights / n
-        grad[0] = 0
-        for value, g, m, v in ((model.weights, grad, state[0], state[1]), (model.moves, (wanted - pairs) / keep, state[2], state[3])):
+        grad = np.stack([np.bincount(flat, weights=np.repeat(diff[:, y], f.shape[1]), minlength=BUCKETS) for y in range(n)]) - L2 * weights / n
+        grad[:, 0] = 0
+        for value, g, m, v in ((weights, grad, state[0], state[1]), (moves, (wanted - pairs) / keep, state[2], state[3])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             value += 0.15 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-9)
-    model.weights[0] = 0
-    return model
+    weights[:, 0] = 0
+    return Model(labels, np.ascontiguousarray(weights.T), moves)
 
 
 def training_sample(docs: DataFrame, chosen: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG) -> list:
@@ -197,11 +220,15 @@ def training_sample(docs: DataFrame, chosen: Column | None = None, doc_id: str =
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = False) -> DataFrame:
-    """``docs`` with lang_pred and score; with ``words`` also word_langs array<string>, a label for each word."""
+    """``docs`` with lang_pred and score; with ``words`` also word_langs array<string>, a label for each word, and certainty.
+
+    certainty is the mean over words of the likeliest label's posterior, whichever label that
+    is: high for a text that mixes known languages, low for one that none of them explains.
+    """
     ship(__name__)
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "word_langs")]
+    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", *(("word_langs", "certainty") if words else ()))]
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    added += [T.StructField("word_langs", T.ArrayType(T.StringType()))] if words else []
+    added += [T.StructField("word_langs", T.ArrayType(T.StringType())), T.StructField("certainty", T.DoubleType())] if words else []
     schema = T.StructType([*kept, *added])
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights.astype(np.float32), model.moves))
     known: dict[str, int] = {}
@@ -224,7 +251,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = Fal
                     table[:] = [np.concatenate(table)]
                 sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
                 of = np.fromiter((known[w] for ws in found for w in ws), dtype=np.int64, count=int(sizes.sum()))
-                names, scores, marks = ["und"] * len(found), np.zeros(len(found)), [[]] * len(found)
+                names, scores, marks, sure = ["und"] * len(found), np.zeros(len(found)), [[]] * len(found), np.zeros(len(found))
                 full = np.flatnonzero(sizes)
                 if len(full):
                     post = posteriors(table[0][of], sizes[full], moves)[0]
@@ -236,10 +263,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = Fal
                         names[i] = labels[k]
                     if words:
                         each = post.argmax(axis=1)
+                        sure[full] = np.add.reduceat(post.max(axis=1), begin) / sizes[full]
                         for i, x, n in zip(full, begin, sizes[full], strict=True):
                             marks[i] = [labels[k] for k in each[x : x + n]]
                 more = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-                more += [pa.array(marks, pa.list_(pa.string()))] if words else []
+                more += [pa.array(marks, pa.list_(pa.string())), pa.array(sure)] if words else []
                 yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], *more], names=schema.fieldNames())
 
     columns = [f.name for f in kept]
