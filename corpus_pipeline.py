@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir), works on every row that the one before k
 and returns the columns of documents; the last returns the packing. ``run`` writes
 each stage's rows as Parquet into the shared folder and reads them again.
 
-Rows that pass the filters without a decision stay: a null doc_id belongs to no group.
+Rows without an id are documents like any other; rows that share an id and not a text
+are documents of their own.
 """
 
 from __future__ import annotations
@@ -18,26 +19,29 @@ from sievemark.llm import lang_crf, minhash, packing, secrets, toxicity
 from sievemark.llm.catalogue import held_out
 from sievemark.plans.tables import shared_dir, table
 
-#: A document whose language is less likely than this is rejected; und always is.
-LEAST_SCORE = 0.4
+#: A document whose words' likeliest languages are less certain than this on average is rejected; und always is.
+LEAST_CERTAINTY = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those of which no language covers a fair share; lang stays as it is."""
+    """Rejects documents without letters and those whose words no language explains; mixed languages stay, and lang stays as it is."""
     model = lang_crf.train(docs, ~held_out())
-    named = docs.select(*[F.col(c).alias(f"d_{c}") for c in docs.columns])
-    judged = lang_crf.predict(named, model, text="d_text")
     if not model.labels:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    kept = judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
+    judged = lang_crf.predict(_carried(docs), model, words=True)
+    kept = judged.filter((F.col("lang_pred") != "und") & (F.col("certainty") >= LEAST_CERTAINTY))
+    return kept.select("row.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the chain's last model calls toxic."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    named = docs.select(*[F.col(c).alias(f"d_{c}") for c in docs.columns])
-    return toxicity.predict(named, model, text="d_text").filter(~F.col("is_toxic")).select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
+    return toxicity.predict(_carried(docs), model).filter(~F.col("is_toxic")).select("row.*")
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """Rows (row, text): the document's columns travel in one, so none of their names can clash."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by its kind in brackets; the document stays."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = secrets.scan(docs, carry=others)
-    text = secrets.redacted(F.col("text"), F.col("spans"))
-    clean = found.withColumn("text", text)
-    # Only a changed text changes its length.
-    changed = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", changed).select(*docs.columns)
+    return secrets.redact(docs, n_chars="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
