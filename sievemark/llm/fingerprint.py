@@ -13,7 +13,8 @@ by which matching anchors of two texts can be aligned. All of it is DataFrame fu
 Edge cases: a null text counts as empty; a text without words has the empty
 fingerprint; one with fewer than k words (or characters) has a single anchor of all of them. Equal
 fingerprints are alike by 1.0, an empty and a non-empty one by 0.0. Rows that share a
-doc_id are ordered by text; a null doc_id comes first. Extra columns are not read. An
+doc_id are ordered by the text's hash; a null doc_id comes first. Ids may be of any type
+that has an order. Extra columns are not read. An
 empty table gives an empty result; a single document is its own next document.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words of a window, and of the parts compared within it.
 K, S = 5, 2
@@ -30,6 +32,8 @@ LONG, SHORT = 32, 300
 UNSPACED = r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 #: Documents of one range bucket, and the most buckets.
 BUCKET_ROWS, MOST_BUCKETS = 512, 65_536
+#: Places looked at for each bucket's bound.
+SAMPLED = 8
 
 
 def words_of(text: Column) -> Column:
@@ -103,34 +107,36 @@ def alike(a: Column, b: Column, a_chars: Column, b_chars: Column) -> Column:
 
 
 def _bucketed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (b, ghost, id, key, text): ranges of ascending id; each but the first also ends the one before as a ghost.
+    """Rows (b, ghost, id, at, text): ranges of ascending place ``at``; each but the first also ends the one before as a ghost.
 
-    The bounds are ids that occur, so a bucket's first rows are those with its bound;
-    the overall first rows close the last bucket.
+    A place is the id and, among rows that share it, the text's hash, so that no id fills
+    a bucket by itself. The bounds are places that occur, so a bucket's first rows are
+    those with its bound; the overall first rows close the last bucket.
     """
-    key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63)))
-    rows = docs.select(key.alias("key"))
-    n = rows.count()
-    buckets = min(MOST_BUCKETS, max(1, n // BUCKET_ROWS))
-    cuts = rows.agg(F.min("key").alias("low"), F.percentile_approx("key", [(i + 1) / buckets for i in range(buckets - 1)] or [1.0], max(10_000, 20 * buckets)).alias("at")).first()
-    low = cuts["low"] if n else 0
-    bounds = sorted({x for x in (cuts["at"] or []) if x > low}) if buckets > 1 else []
-    b: Column = F.lit(0)
-    if bounds:
-        step = max(1, int(len(bounds) ** 0.5))
-        coarse = F.array(*[F.lit(x) for x in bounds[::step]])
-        groups = F.array(*[F.array(*[F.lit(x) for x in bounds[i : i + step]]) for i in range(0, len(bounds), step)])
-        g = F.size(F.filter(coarse, lambda x: x <= F.col("key")))
-        fine = F.when(g == 0, F.lit(0)).otherwise((g - 1) * step + F.size(F.filter(F.get(groups, g - 1), lambda x: x <= F.col("key"))))
-        b = fine
-        at = F.get(F.get(groups, ((F.col("b") - 1) / step).cast("int")), ((F.col("b") - 1) % step).cast("int"))
-    d = docs.select(F.col(doc_id).alias("id"), key.alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("b", b)
-    own = F.struct(F.col("b").cast("int").alias("b"), F.lit(0).alias("ghost"))
-    before = F.struct((F.col("b") - 1).cast("int").alias("b"), F.lit(1).alias("ghost"))
-    starts = (F.col("b") > 0) & (at == F.col("key")) if bounds else F.lit(False)  # bucket b begins at bounds[b - 1]
-    around = F.struct(F.lit(len(bounds)).alias("b"), F.lit(1).alias("ghost"))
-    places = F.array_compact(F.array(own, F.when(starts, before), F.when(F.col("key") == F.lit(low), around)))
-    return d.withColumn("place", F.explode(places)).select("place.b", "place.ghost", "id", "key", "text")
+    own_text = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.struct(F.col(doc_id).isNotNull().alias("named"), F.col(doc_id).alias("id"), F.xxhash64(own_text).alias("h")).alias("at"), F.col(doc_id).alias("id"), own_text.alias("text"))
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("low")).first()
+    buckets = min(MOST_BUCKETS, max(1, seen["n"] // BUCKET_ROWS))
+    bounds: list = []
+    if buckets > 1:
+        # Places chosen by their hash, about SAMPLED for each bucket; they only say where buckets begin.
+        among = max(1, seen["n"] // (buckets * SAMPLED))
+        sample = rows.select("at").filter(F.pmod(F.xxhash64("at"), F.lit(among)) == 0).distinct().collect()
+        places = sorted((r["at"] for r in sample), key=lambda p: (p["named"], (p["id"],) if p["named"] else (), p["h"]))
+        bounds = [p for p in places[::SAMPLED] if p != seen["low"]]
+    step = max(1, int(len(bounds) ** 0.5))
+    kind = rows.schema["at"].dataType
+    schema = T.StructType([T.StructField("low", kind), T.StructField("coarse", T.ArrayType(kind)), T.StructField("fine", T.ArrayType(T.ArrayType(kind)))])
+    known = docs.sparkSession.createDataFrame([(seen["low"], bounds[::step], [bounds[i : i + step] for i in range(0, len(bounds), step)])], schema)
+    below = lambda places: F.size(F.filter(places, lambda x: x <= F.col("at")))
+    d = rows.join(F.broadcast(known), F.lit(True))  # one row, of MOST_BUCKETS places at most
+    d = d.withColumn("g", below(F.col("coarse"))).withColumn("group", F.get("fine", F.col("g") - 1))
+    d = d.withColumn("k", F.when(F.col("g") == 0, 0).otherwise(below(F.col("group"))))
+    d = d.withColumn("b", F.when(F.col("g") == 0, 0).otherwise((F.col("g") - 1) * step + F.col("k")).cast("int"))
+    place = lambda b, ghost: F.struct(b.cast("int").alias("b"), F.lit(ghost).alias("ghost"))
+    starts = F.get("group", F.col("k") - 1) == F.col("at")  # bucket b begins at bounds[b - 1]
+    places = F.array_compact(F.array(place(F.col("b"), 0), F.when(starts, place(F.col("b") - 1, 1)), F.when(F.col("at") == F.col("low"), place(F.lit(len(bounds)), 1))))
+    return d.withColumn("place", F.explode(places)).select("place.b", "place.ghost", "id", "at", "text")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -139,7 +145,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     The edited text is the text with its last floor(n/2) code points replaced by as
     many of the next document's first (all, if it has fewer).
     """
-    order = Window.partitionBy("b").orderBy("ghost", "key", "text")
+    order = Window.partitionBy("b").orderBy("ghost", "at", "text")
     d = _bucketed(docs, doc_id, text)
     d = d.withColumn("next", F.lead("text").over(order))
     half = F.floor(F.length("text") / 2).cast("int")
