@@ -219,16 +219,16 @@ def training_sample(docs: DataFrame, chosen: Column | None = None, doc_id: str =
     return sorted(rows, key=lambda r: (r["part"], r[text]))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = False) -> DataFrame:
-    """``docs`` with lang_pred and score; with ``words`` also word_langs array<string>, a label for each word, and certainty.
+def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = False, certainty: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score; with ``words`` also word_langs array<string>, a label for each word; with ``certainty`` that too.
 
     certainty is the mean over words of the likeliest label's posterior, whichever label that
     is: high for a text that mixes known languages, low for one that none of them explains.
     """
     ship(__name__)
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", *(("word_langs", "certainty") if words else ()))]
+    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", *["word_langs"] * words, *["certainty"] * certainty)]
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    added += [T.StructField("word_langs", T.ArrayType(T.StringType())), T.StructField("certainty", T.DoubleType())] if words else []
+    added += [T.StructField("word_langs", T.ArrayType(T.StringType()))] * words + [T.StructField("certainty", T.DoubleType())] * certainty
     schema = T.StructType([*kept, *added])
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.weights.astype(np.float32), model.moves))
     known: dict[str, int] = {}
@@ -261,13 +261,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", words: bool = Fal
                     scores[full] = np.clip(mean[np.arange(len(full)), best], 0.0, 1.0)
                     for i, k in zip(full, best, strict=True):
                         names[i] = labels[k]
+                    if certainty:
+                        sure[full] = np.add.reduceat(post.max(axis=1), begin) / sizes[full]
                     if words:
                         each = post.argmax(axis=1)
-                        sure[full] = np.add.reduceat(post.max(axis=1), begin) / sizes[full]
                         for i, x, n in zip(full, begin, sizes[full], strict=True):
                             marks[i] = [labels[k] for k in each[x : x + n]]
                 more = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-                more += [pa.array(marks, pa.list_(pa.string())), pa.array(sure)] if words else []
+                more += [pa.array(marks, pa.list_(pa.string()))] * words + [pa.array(sure)] * certainty
                 yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], *more], names=schema.fieldNames())
 
     columns = [f.name for f in kept]

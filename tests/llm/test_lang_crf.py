@@ -43,7 +43,7 @@ def test_learns_languages_and_switches(spark):
     assert (np.diag(model.moves) > model.moves[0, 1]).all()
     text = "the white thing shall where the other weather " * 3 + "niño para aquella queda años otro llama ción"
     df = spark.createDataFrame([(1, text), (2, None), (3, "123 ... ½²Ⅷ"), (4, "")], "doc_id long, text string")
-    out = {r["doc_id"]: r for r in L.predict(df, model, words=True).collect()}
+    out = {r["doc_id"]: r for r in L.predict(df, model, words=True, certainty=True).collect()}
     assert out[1]["lang_pred"] == "en" and out[1]["word_langs"] == ["en"] * 24 + ["es"] * 8
     assert out[1]["score"] < 0.8 < 0.9 < out[1]["certainty"] and out[2]["certainty"] == 0
     assert all(out[i]["lang_pred"] == "und" and out[i]["score"] == 0 for i in (2, 3, 4))
