@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = lang_crf.train(docs, ~held_out())
     if not model.labels:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = lang_crf.predict(_carried(docs), model, words=True)
+    judged = lang_crf.predict(_carried(docs), model, certainty=True)
     kept = judged.filter((F.col("lang_pred") != "und") & (F.col("certainty") >= LEAST_CERTAINTY))
     return kept.select("row.*")
 
