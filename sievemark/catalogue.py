@@ -15,8 +15,10 @@ from sievemark.plans import adapters as ad
 from sievemark.plans.tables import shared_dir, table
 from sievemark.streaming import recover_stream
 
-#: Distances for the hashes derived from vectors, which are further apart than those of pictures.
-NEAR = {"dhash": 18, "ahash": 22, "bands": 20}
+#: So many numbers of a vector stand for its picture, each for several bits of the hashes, so that near hashes occur.
+GREYS = 12
+#: Aspect ratios of the derived pictures differ by a tenth and more; hashes are compared at the default distances.
+LIMITS = {"aspect": 0.12}
 Q: dict = {}
 SQL: dict[str, str] = {}
 
@@ -76,13 +78,16 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     return ad.boxes(spark, d, 0).select(*keep), ad.boxes(spark, d, 2).select(*keep), ad.thresholds(spark)
 
 
-@query(f"WITH {_BASE} SELECT p.image AS image, p.idx AS a, l.idx AS b, {_iou('p', 'l')} AS iou, p.cx - p.w / 2 AS p_left, p.cy - p.h / 2 AS p_top FROM p JOIN l ON p.split = l.split AND p.image = l.image")
+@query(f"""WITH {_BASE}, pairs AS (SELECT p.split, p.image, p.idx, p.cx - p.w / 2 AS p_left, p.cy - p.h / 2 AS p_top, {_iou('p', 'l')} AS iou FROM p JOIN l ON p.split = l.split AND p.image = l.image)
+SELECT split, image, idx, p_left, p_top, max(iou) AS best_iou, min(iou) AS least_iou, count(*) AS labels, count(*) FILTER (iou > 0) AS touching FROM pairs GROUP BY ALL""")
 def iou_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """overlaps of predictions and labels of the same image."""
+    """each prediction's overlaps with all labels of its image."""
     p, l, _ = _parts(spark, sf_dir)
     j = p.alias("p").join(l.alias("l"), ["split", "image"])
     left, top, _, _ = corners(box("p."))
-    return j.select("image", F.col("p.idx").alias("a"), F.col("l.idx").alias("b"), overlap(box("p."), box("l.")).alias("iou"), left.alias("p_left"), top.alias("p_top"))
+    pairs = j.select("split", "image", "p.idx", left.alias("p_left"), top.alias("p_top"), overlap(box("p."), box("l.")).alias("iou"))
+    found = pairs.groupBy("split", "image", "idx", "p_left", "p_top")
+    return found.agg(F.max("iou").alias("best_iou"), F.min("iou").alias("least_iou"), F.count(F.lit(1)).alias("labels"), F.count_if(F.col("iou") > 0).alias("touching"))
 
 
 @query(f"WITH {_CANDIDATES} SELECT split, image, class_id, idx, conf, max_iou, mode FROM candidates")
@@ -289,11 +294,11 @@ def audit_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SPLIT = "CASE label % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END"
 _BITS = "list_sum(list_transform(range(64), lambda i: CASE WHEN {} THEN pow(2, 63 - i)::HUGEINT ELSE 0::HUGEINT END))"
 _FP = f"""raw AS (SELECT 'v' || lpad(vec_id::VARCHAR, 12, '0') AS path, {_SPLIT} AS split, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
-summed AS (SELECT *, list_reduce(e, lambda a, b: a + b) AS total FROM raw), wide AS (SELECT *, {_BITS.format('e[i + 1] < e[(i + 1) % 64 + 1]')} AS d, {_BITS.format('e[i + 1] * 64 >= total')} AS a FROM summed),
+summed AS (SELECT *, list_reduce(e, lambda a, b: a + b) AS total FROM raw), wide AS (SELECT *, {_BITS.format(f'e[i % {GREYS} + 1] < e[(i + 1) % {GREYS} + 1]')} AS d, {_BITS.format(f'e[i % {GREYS} + 1] * 64 >= total')} AS a FROM summed),
 fp AS MATERIALIZED (SELECT split, path, vec_id, label, (CASE WHEN d >= 9223372036854775808 THEN d - 18446744073709551616 ELSE d END)::BIGINT AS dhash, (CASE WHEN a >= 9223372036854775808 THEN a - 18446744073709551616 ELSE a END)::BIGINT AS ahash,
   (vec_id % 5 + 8)::INT AS width, 100 AS height FROM wide)"""
 _PAIRS = f"""{_FP}, pairs AS MATERIALIZED (SELECT l.split AS l_split, l.path AS l_path, r.split AS r_split, r.path AS r_path, l.dhash AS l_dhash, bit_count(xor(l.dhash, r.dhash))::INT AS distance FROM fp l JOIN fp r ON (l.split, l.path) < (r.split, r.path)
-WHERE bit_count(xor(l.dhash, r.dhash)) <= 18 AND bit_count(xor(l.ahash, r.ahash)) <= 22 AND abs(l.width / 100e0 - r.width / 100e0) / greatest(l.width / 100e0, r.width / 100e0) <= 0.35)"""
+WHERE bit_count(xor(l.dhash, r.dhash)) <= {similar.DHASH} AND bit_count(xor(l.ahash, r.ahash)) <= {similar.AHASH} AND abs(l.width / 100e0 - r.width / 100e0) / greatest(l.width / 100e0, r.width / 100e0) <= {LIMITS['aspect']})"""
 _FIRST = f"{_PAIRS}, edges AS MATERIALIZED (SELECT min({{'s': l_split, 'p': l_path}}) AS l, r_split, r_path FROM pairs GROUP BY r_split, r_path, l_dhash)"
 _COMPONENTS = f"""{_FIRST}, ways AS MATERIALIZED (SELECT l, {{'s': r_split, 'p': r_path}} AS r FROM edges UNION ALL SELECT {{'s': r_split, 'p': r_path}}, l FROM edges),
 reach(node, root) AS (SELECT DISTINCT l, l FROM ways UNION SELECT w.r, reach.root FROM reach JOIN ways w ON w.l = reach.node), parts AS (SELECT node, min(root) AS root FROM reach GROUP BY 1)"""
@@ -310,14 +315,11 @@ def fingerprint_table(spark: SparkSession, d: str) -> DataFrame:
     at = F.sequence(F.lit(0), F.lit(63))
     return t.select(
         split.alias("split"), F.concat(F.lit("v"), F.lpad(F.col("vec_id").cast("string"), 12, "0")).alias("path"), "vec_id", "label",
-        sc.bits_to_long(F.transform(at, lambda i: F.get("e", i) < F.get("e", (i + 1) % 64))).alias("dhash"), sc.bits_to_long(F.transform("e", lambda x: x * 64 >= F.col("total"))).alias("ahash"),
+        sc.bits_to_long(F.transform(at, lambda i: F.get("e", i % GREYS) < F.get("e", (i + 1) % GREYS))).alias("dhash"), sc.bits_to_long(F.transform(at, lambda i: F.get("e", i % GREYS) * 64 >= F.col("total"))).alias("ahash"),
         (F.col("vec_id") % 5 + 8).cast("int").alias("width"), F.lit(100).alias("height"), F.lit(100.0).alias("mean_luma"), F.lit(50.0).alias("luma_stddev"),
     )
 
 
-LIMITS = {**NEAR, "aspect": 0.35}
-
-
 @query(f"WITH {_FP} SELECT split, path, dhash, ahash, lpad(lower(to_hex(dhash)), 16, '0') AS dhash_hex, bit_count(dhash)::INT AS ones FROM fp")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F13, F15 to F18, F21."""
@@ -351,7 +353,8 @@ def near_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.clusters(fingerprint_table(spark, sf_dir), **LIMITS)
 
 
-@query(f"WITH RECURSIVE {_CLUSTERS} SELECT (SELECT count(*) FROM fp) AS images, count(DISTINCT cluster) AS clusters, count(*) AS clustered_images, count(DISTINCT cluster) FILTER (cross_split) AS cross_split_clusters, coalesce(max(size), 0) AS largest, count(*) - count(DISTINCT cluster) AS redundant_images FROM clusters")
+@query(f"WITH RECURSIVE {_CLUSTERS} SELECT (SELECT count(*) FROM fp) AS images, count(DISTINCT cluster) AS clusters, count(*) AS clustered_images, count(DISTINCT cluster) FILTER (cross_split) AS cross_split_clusters, coalesce(max(size), 0) AS largest, count(*) - count(DISTINCT cluster) AS redundant_images, count(*) FILTER (cross_split) AS cross_split_images, coalesce(sum(size - 1)::BIGINT // 2, 0) AS pairs_within,
+(SELECT count(*) FROM fp) - count(*) AS single_images, (SELECT count(*) FROM fp) AS files, 0::BIGINT AS failures FROM clusters")
 def near_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A15."""
     fp = fingerprint_table(spark, sf_dir)
@@ -391,13 +394,30 @@ def class_rarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prioritize.class_rarity(_review(spark, sf_dir)[0])
 
 
-@query()
+_D, _A = (f"bit_count(xor(i.{h}, c.{h}))" for h in ("dhash", "ahash"))
+_ITEMS = f"""items AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY split, image) AS place FROM (SELECT split, image, max({_ENTROPY}) AS uncertainty, max(rarity) AS rarity, list_distinct(list(class_name)) AS classes
+  FROM cand JOIN rare USING (class_name) GROUP BY ALL) t JOIN (SELECT split, path AS image, dhash, ahash FROM fp) h USING (split, image))"""
+#: The greedy choice as a recursion: each step takes the best image given the list of those chosen so far.
+_QUEUE = f"""{_CAND}, {_ITEMS}, step(k, chosen, pick) AS (
+  SELECT 0, []::STRUCT(place BIGINT, dhash BIGINT, ahash BIGINT, classes VARCHAR[])[], NULL::STRUCT(score DOUBLE, neg BIGINT, rarity DOUBLE, diversity DOUBLE, dhash BIGINT, ahash BIGINT, classes VARCHAR[])
+  UNION ALL
+  SELECT k + 1, list_append(chosen, {{'place': -pick.neg, 'dhash': pick.dhash, 'ahash': pick.ahash, 'classes': pick.classes}}), pick
+  FROM (SELECT k, chosen, max({{'score': 0.45::DOUBLE * uncertainty + 0.2::DOUBLE * dynamic + 0.35::DOUBLE * nearest, 'neg': -place, 'rarity': dynamic, 'diversity': nearest, 'dhash': dhash, 'ahash': ahash, 'classes': classes}}) AS pick
+    FROM (SELECT s.k, s.chosen, i.place, i.uncertainty, i.dhash, i.ahash, i.classes,
+        i.rarity / sqrt(1 + list_min(list_transform(i.classes, lambda x: len(list_filter(s.chosen, lambda c: list_contains(c.classes, x)))))) AS dynamic,
+        least(1e0, coalesce(list_min(list_transform(s.chosen, lambda c: 0.7::DOUBLE * {_D} / 64e0 + 0.3::DOUBLE * {_A} / 64e0)), 1e0)) AS nearest
+      FROM step s JOIN items i ON s.k < 20 AND len(list_filter(s.chosen, lambda c: c.place = i.place)) = 0) t GROUP BY k, chosen)),
+queue AS (SELECT k::INT AS priority_rank, round(pick.score, 9) AS priority_score, round(pick.rarity, 9) AS rarity_score, round(pick.diversity, 9) AS diversity_score, split, image FROM step JOIN items ON place = -pick.neg WHERE k > 0)"""
+
+
+@query(f"WITH RECURSIVE {_QUEUE} SELECT * FROM queue")
 def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy, so without SQL; a test compares it with the definition."""
-    return prioritize.queue(prioritize.items(*_review(spark, sf_dir)), 20)
+    """W6, T5, T8, F14."""
+    chosen = prioritize.queue(prioritize.items(*_review(spark, sf_dir)), 20)
+    return chosen.withColumns({c: F.round(c, 9) for c in ("priority_score", "rarity_score", "diversity_score")})
 
 
-@query()
+@query(f"WITH RECURSIVE {_QUEUE} SELECT class_name, count(*) AS pool, count(priority_rank) AS queue FROM cand LEFT JOIN queue USING (split, image) GROUP BY 1")
 def review_queue_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of the pool and of the queue by class."""
     c, f = _review(spark, sf_dir)

@@ -29,7 +29,7 @@ def _finish(out: str, verb: str, sources: list[str], tables: dict[str, DataFrame
 def run_run(a: argparse.Namespace) -> int:
     """Predictions (a CSV of split, image, class_name, conf, cx, cy, w, h) against a data set's labels."""
     spark = session()
-    sinks.guard_output(a.dataset, a.output)
+    sinks.guard_output(a.dataset, a.output, a.predictions)
     names = config.load_class_names(Path(a.dataset) / "data.yaml")
     limits = config.thresholds(a.threshold, {n: config.THRESHOLDS.get(n, (0.75, 0.55)) for n in names})
     classes = spark.createDataFrame([(i, n, *limits[n]) for i, n in enumerate(names)], "class_id int, class_name string, auto_thr double, review_thr double")
@@ -41,11 +41,18 @@ def run_run(a: argparse.Namespace) -> int:
     best = classes.select("class_id", "auto_thr", "review_thr")
     kept = recover.distinct_boxes(recover.candidates(stems, labels, best, a.iou_existing), a.iou_duplicate)
     sinks.candidate_tables(kept, a.output)
-    if a.apply:
-        old, new = sinks.label_text(labels), sinks.label_text(kept.filter("mode = 'auto'"))
-        sinks.label_files(old.unionByName(new), f"{a.output}/labels")
+    made: dict = {}
+    if a.apply or a.trainable:
+        texts = files.label_texts(spark, a.dataset, a.splits)
+        made["labels_added"] = sinks.label_tree(texts, sinks.label_text(kept.filter("mode = 'auto'")), a.output).agg(F.sum("added").alias("n")).first()["n"] or 0
+    if a.trainable:
+        merged = files.label_texts(spark, a.output, a.splits)
+        made["images"] = sinks.trainable(files.images(spark, a.dataset, a.splits), merged, names, a.dataset, f"{a.output}/trainable")
     stats = recover.class_statistics(stems, labels, best, a.iou_existing, a.iou_duplicate)
-    _finish(a.output, "run", [a.dataset, a.predictions], {"stats": stats, "histograms": report.histogram(kept, {"auto_conf": (F.col("mode") == "auto", F.col("conf")), "review_conf": (F.col("mode") == "review", F.col("conf")), "auto_iou": (F.col("mode") == "auto", F.col("max_iou"))})}, a.redact)
+    shown = [r.asDict() for r in stats.orderBy("class_id").collect()]
+    sinks.run_summary(Path(a.output) / "summary.txt", shown, {"dataset": sinks.redacted(a.dataset) if a.redact else a.dataset, **made})
+    totals = {k: sum(r[k] for r in shown) for k in ("predictions", "matched", "repeats", "auto", "review")}
+    _finish(a.output, "run", [a.dataset, a.predictions], {"stats": stats, "histograms": report.histogram(kept, {"auto_conf": (F.col("mode") == "auto", F.col("conf")), "review_conf": (F.col("mode") == "review", F.col("conf")), "auto_iou": (F.col("mode") == "auto", F.col("max_iou"))})}, a.redact, totals=totals, **made)
     return 0
 
 
@@ -88,6 +95,13 @@ def run_consensus(a: argparse.Namespace) -> int:
     table = decided.orderBy("idx").select(*[(F.col("mode") if c == "raw_mode" else F.col(c)).alias(c[4:]) for c in raw], *[F.col(c) for c in ("verifier_conf", "agreement_iou", "consensus_score", "consensus_decision")])
     for name, part in (("all", table), ("auto", table.filter("mode = 'auto'")), ("review", table.filter("mode = 'review'"))):
         sinks.csv(part, f"{a.output}/consensus_{name}")
+    if a.labels:
+        names = config.load_class_names(a.names)
+        numbers = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "class_name string, class_id int")
+        path = F.regexp_replace(F.trim("raw_image"), r"\\", "/")
+        within = F.concat(F.lit("images/"), F.col("split"), F.lit("/"))
+        below = F.when(F.startswith(path, within), F.substring(path, F.length(within) + 1, F.length(path))).otherwise(path)
+        sinks.agreed_labels(decided.withColumn("image", below), numbers, a.labels)
     _finish(a.output, "consensus", [a.primary, a.verifier], {"classes": consensus.totals(decided).orderBy(F.col("class_id").asc_nulls_last())}, a.redact)
     return 0
 
@@ -101,8 +115,9 @@ def run_cluster(a: argparse.Namespace) -> int:
     groups = similar.clusters(good, a.least, a.full_edges, a.dhash, ahash=a.ahash, aspect=a.aspect)
     named = groups.withColumn("cluster", F.format_string("ND-%05d", "cluster"))
     sinks.csv(named.orderBy("cluster", "split", "path"), f"{a.output}/members")
+    sinks.csv(similar.representatives(named).orderBy("cluster"), f"{a.output}/representatives")
     sinks.csv(failed, f"{a.output}/failures")
-    data = _finish(a.output, "cluster", [a.dataset], {"summary": similar.summary(good, groups), "sizes": similar.size_distribution(groups)}, a.redact)
+    data = _finish(a.output, "cluster", [a.dataset], {"summary": similar.summary(good, groups, fp.count(), failed.count()), "sizes": similar.size_distribution(groups)}, a.redact)
     return 3 if data["summary"][0]["cross_split_clusters"] else 0
 
 
@@ -129,7 +144,9 @@ def run_prioritize(a: argparse.Namespace) -> int:
 
 def run_report(a: argparse.Namespace) -> int:
     c = files.candidates(session(), f"{a.output}/candidates_all")
-    _finish(a.output, "report", [a.output], {"counts": report.mode_counts(c)}, a.redact)
+    auto, review = F.col("mode") == "auto", F.col("mode") == "review"
+    drawn = {"auto_conf": (auto, F.col("conf")), "review_conf": (review, F.col("conf")), "auto_iou": (auto, F.coalesce("max_iou_same_class", F.col("max_iou")) if "max_iou" in c.columns else F.col("max_iou_same_class"))}
+    _finish(a.output, "report", [a.output], {"counts": report.mode_counts(c), "histograms": report.histogram(c, drawn)}, a.redact)
     return 0
 
 
@@ -157,7 +174,8 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--threshold", action="append", default=[])
     v.add_argument("--iou-existing", type=float, default=recover.EXISTING)
     v.add_argument("--iou-duplicate", type=float, default=recover.REPEATED)
-    v.add_argument("--apply", action="store_true")
+    v.add_argument("--apply", action="store_true", help="write labels/<split>/<stem>.txt with the auto candidates added")
+    v.add_argument("--trainable", action="store_true", help="write a data set of linked pictures, these labels and data.yaml")
     v = verb(run_audit, "dataset", "output")
     v.add_argument("--splits", **splits)
     v.add_argument("--details", type=int, default=5000)
@@ -173,6 +191,8 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--classes", nargs="*", default=[])
     v.add_argument("--iou", type=float, default=consensus.OVERLAP)
     v.add_argument("--conf", type=float, default=consensus.CONFIDENCE)
+    v.add_argument("--labels", help="a new folder for label files of the agreed candidates")
+    v.add_argument("--names", help="the data.yaml that numbers the classes")
     v = verb(run_cluster, "dataset", "output")
     v.add_argument("--splits", **splits)
     v.add_argument("--dhash", type=int, default=similar.DHASH)
@@ -193,7 +213,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(args: list[str] | None = None) -> int:
     a = parser().parse_args(args)
-    return a.run(a)
+    if not hasattr(a, "output") or a.verb == "report":
+        return a.run(a)
+    if hasattr(a, "dataset"):
+        sinks.guard_output(a.dataset, a.output)
+    with sinks.Status(a.output, a.verb):
+        return a.run(a)
 
 
 if __name__ == "__main__":

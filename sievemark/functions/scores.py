@@ -80,3 +80,14 @@ def class_name(name: Column, class_id: Column) -> Column:
 def stem(path: Column) -> Column:
     """The path without its last suffix."""
     return F.regexp_replace(path, r"\.[^./]*$", "")
+
+
+def progress_key(class_name: Column, split: Column) -> Column:
+    """What a resumed run remembers as done."""
+    return F.concat_ws("/", class_name, split)
+
+
+def sample_name(split: Column, image: Column) -> Column:
+    """The file name of a sample picture: split, stem and suffix of the image, joined by underscores."""
+    base = F.element_at(F.split(image, "/"), -1)
+    return F.concat(F.concat_ws("_", split, stem(base), F.regexp_extract(base, r"\.([^.]*)$", 1)), F.lit(".jpg"))

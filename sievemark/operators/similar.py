@@ -97,12 +97,23 @@ def clusters(images: DataFrame, least: int = 2, full_edges: bool = False, dhash:
     return out.select("cluster", "split", "path", "size", (F.col("splits") > 1).alias("cross_split"), F.col("best.path").alias("representative"), hamming(F.col("dhash"), F.col("best.dhash")).cast("int").alias("distance"))
 
 
-def summary(images: DataFrame, clustered: DataFrame) -> DataFrame:
-    """One row: images, clusters, clustered_images, cross_split_clusters, redundant_images, largest."""
+def representatives(clustered: DataFrame) -> DataFrame:
+    """Rows (cluster, representative, size, splits, cross_split, farthest), one for each group."""
+    heads = clustered.groupBy("cluster", "representative", "size", "cross_split")
+    return heads.agg(F.sort_array(F.collect_set("split")).alias("s"), F.max("distance").alias("farthest")).select("cluster", "representative", "size", F.array_join("s", ",").alias("splits"), "cross_split", "farthest")
+
+
+def summary(images: DataFrame, clustered: DataFrame, files: int | None = None, failures: int = 0) -> DataFrame:
+    """One row: files, failures, images, clusters, clustered_images, cross_split_clusters, redundant_images, single_images, largest, pairs and cross_split_images."""
     heads = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.max("cross_split").alias("cross"))
-    s = heads.agg(F.count(F.lit(1)).alias("clusters"), F.coalesce(F.sum("size"), F.lit(0)).alias("clustered_images"), F.count_if("cross").alias("cross_split_clusters"), F.coalesce(F.max("size"), F.lit(0)).alias("largest"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    s = heads.agg(
+        F.count(F.lit(1)).alias("clusters"), zero(F.sum("size")).alias("clustered_images"), F.count_if("cross").alias("cross_split_clusters"), zero(F.max("size")).alias("largest"),
+        zero(F.sum(F.when(F.col("cross"), F.col("size")))).alias("cross_split_images"), zero(F.sum((F.col("size") * (F.col("size") - 1) / 2).cast("long"))).alias("pairs_within"),
+    )
     n = images.agg(F.count(F.lit(1)).alias("images"))
-    return n.join(s, F.lit(True)).withColumn("redundant_images", F.col("clustered_images") - F.col("clusters"))  # one row each
+    joined = n.join(s, F.lit(True))  # one row each
+    return joined.withColumns({"redundant_images": F.col("clustered_images") - F.col("clusters"), "single_images": F.col("images") - F.col("clustered_images"), "files": F.lit(files).cast("long") if files is not None else F.col("images"), "failures": F.lit(failures).cast("long")})
 
 
 def size_distribution(clustered: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sievemark.plans.tables import table
+from sievemark.sources import config
 
 #: One box for each line item; role 0: predictions, 1: verifier, 2: labels.
 BOXES = """
@@ -25,7 +26,8 @@ FROM (SELECT cast(floor(l_orderkey / 8) AS bigint) AS image,
     l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_quantity
   FROM lineitem) AS l
 """
-THRESHOLDS = [(0, 0.75, 0.55), (1, 0.75, 0.55), (2, 0.75, 0.55), (3, 0.70, 0.50), (4, 0.65, 0.45), (5, 0.65, 0.40)]
+#: The default thresholds by class number.
+THRESHOLDS = [(i, *limits) for i, limits in enumerate(config.THRESHOLDS.values())]
 #: Label lines with faults put in by the part's number.
 LINES = f"""
 SELECT split, image AS file, idx AS line_no, CASE defect

@@ -144,7 +144,7 @@ def label_lines(spark: SparkSession, root: str, splits: Sequence[str], recursive
         path = f"{root}/{folder}/{split}"
         if not exists(spark, path):
             continue
-        d = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.txt").text(path)
+        d = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
         d = d.select(F.element_at(F.split(F.col("_metadata.file_path"), f"/{folder}/{split}/", 2), 2).alias("f"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("p", "value"))
         d = d.select(F.lit(split).alias("split"), sc.stem(F.col("f")).alias("file"), (F.col("p") + 1).alias("line_no"), "value")
         out = d if out is None else out.unionByName(d)
@@ -168,6 +168,20 @@ def label_files(spark: SparkSession, root: str, splits: Sequence[str]) -> DataFr
     return out if out is not None else spark.createDataFrame([], "split string, stem string, size long")
 
 
+def label_texts(spark: SparkSession, root: str, splits: Sequence[str]) -> DataFrame:
+    """Rows (split, image, text): each label file's whole text, empty files too."""
+    out = None
+    for split in dict.fromkeys(splits):
+        path = f"{root}/labels/{split}"
+        if not exists(spark, path):
+            continue
+        d = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+        d = d.select(sc.stem(F.element_at(F.split(F.col("_metadata.file_path"), f"/labels/{split}/", 2), 2)).alias("stem"), "value")
+        d = label_files(spark, root, [split]).join(d, "stem", "left").select("split", F.col("stem").alias("image"), F.coalesce("value", F.lit("")).alias("text"))
+        out = d if out is None else out.unionByName(d)
+    return out if out is not None else spark.createDataFrame([], "split string, image string, text string")
+
+
 def boxes(lines: DataFrame, class_id: int | None = None) -> DataFrame:
     """Lenient reading: five words or more, numbers in the first five, positive sides; the class is cut to a whole number."""
     w = F.filter(F.split("value", r"\s+"), lambda x: x != "")

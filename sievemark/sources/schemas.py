@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 CANDIDATE = ["split", "image", "label", "class_name", "class_id", "conf", "mode", "max_iou_same_class", "cx", "cy", "w", "h"]
 #: What identifies a candidate, with coordinates rounded to six places.
 CANDIDATE_KEY = ["split", "image", "class_id", "mode", "cx", "cy", "w", "h"]
-#: What the verbs need of a file; other columns pass through.
+# What the verbs need of a file; other columns pass through. The last are the columns that consensus adds.
 CONSENSUS_NEEDS = ["split", "image", "class_name", "conf", "mode", "cx", "cy", "w", "h"]
 QUEUE_NEEDS = ["split", "image", "class_name", "conf", "mode"]
 CONSENSUS_ADDS = ["verifier_conf", "agreement_iou", "consensus_score", "consensus_decision"]

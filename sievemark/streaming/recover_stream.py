@@ -1,8 +1,9 @@
 """Micro-batch processing with resume and exactly-once results.
 
-A batch's rows go to a partition named by the batch, which a replay overwrites, and
-rows whose key earlier batches wrote are left out. A signature of the run's settings
-stands beside the checkpoint, so a checkpoint is not resumed with other settings.
+The stream's own state remembers the keys, dealt out by key, so a batch meets only the
+keys that it holds and never reads what earlier batches wrote. A batch's rows go to a
+partition named by the batch, which a replay overwrites. A signature of the run's
+settings stands beside the checkpoint, so a checkpoint is not resumed with other settings.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,28 +48,28 @@ def _guard(spark: SparkSession, path: str, sign: str) -> None:
     stream.close()
 
 
-def append_new(spark: SparkSession, target: str, key: list[str], batch: DataFrame, batch_id: int) -> int:
-    """Writes the batch's rows with new keys as partition ``batch_id``; a replay gives the same partition. Returns the rows written."""
-    fresh = batch.dropDuplicates(key)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
-        written = spark.read.schema(schema).parquet(target).filter(F.col("batch_id") < batch_id)
-        fresh = fresh.join(written.select(*key).distinct(), key, "left_anti")
-    fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-    return spark.read.parquet(f"{target}/batch_id={batch_id}").count()
+def write_batch(target: str, batch: DataFrame, batch_id: int) -> None:
+    """The batch's rows as partition ``batch_id``; a replay gives the same partition."""
+    batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
 
+def run(source: DataFrame, target: str, checkpoint: str, key: list[str], transform: Callable[[DataFrame], DataFrame], settings: dict | None = None, watermark: tuple[str, str] | None = None) -> None:
+    """Processes all that the streaming ``source`` has, batch by batch, and stops; a later call goes on from there.
 
-def run(source: DataFrame, target: str, checkpoint: str, key: list[str], transform: Callable[[DataFrame], DataFrame], settings: dict | None = None) -> None:
-    """Processes all that the streaming ``source`` has, batch by batch, and stops; a later call goes on from there."""
+    Of the rows that share a key the first that comes stays. ``watermark`` (column of times,
+    delay) bounds the state: keys are then forgotten after the delay.
+    """
     spark = source.sparkSession
     _guard(spark, f"{checkpoint}/settings.sha256", signature(settings or {}))
+    rows = transform(source.withWatermark(*watermark) if watermark else source)
+    once = rows.dropDuplicatesWithinWatermark(key) if watermark else rows.dropDuplicates(key)
+    once.writeStream.foreachBatch(lambda batch, batch_id: write_batch(target, batch, batch_id)).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()
 
-    def one(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch.sparkSession, target, key, transform(batch), batch_id)
 
-    source.writeStream.foreachBatch(one).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()
+def best_of_batches(spark: SparkSession, target: str, partition: list[str], order: list[str], most: int) -> DataFrame:
+    """Of all batches' rows the ``most`` first of each ``partition`` by ``order`` (a name with a minus before it falls)."""
+    by = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+    return spark.read.parquet(target).withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(*by))).filter(F.col("rank") <= most)
 
 
 def result(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:

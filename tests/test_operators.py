@@ -180,7 +180,9 @@ def naive_queue(pool, budget, weights):
     return out
 
 
-def test_queue_against_its_definition(spark):
+@pytest.mark.parametrize("ahead", [2, 1024])
+def test_queue_against_its_definition(spark, monkeypatch, ahead):
+    monkeypatch.setattr(prioritize, "AHEAD", ahead)
     rng = random.Random(8)
     c = [("train", f"i{i:02}", f"k{rng.randrange(5) ** 2 // 4}", rng.random()) for i in range(40) for _ in range(rng.randrange(1, 4))]
     f = [("train", f"i{i:02}", rng.getrandbits(63) if i % 3 else 5, rng.getrandbits(62)) for i in range(40)]
@@ -204,7 +206,8 @@ def test_stream_resumes_once_and_refuses_other_settings(spark, tmp_path):
     go({"a": 1})
     go({"a": 1})
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
-    assert recover_stream.append_new(spark, out, ["event_id"], spark.createDataFrame([(2, 0.2), (3, 0.3)], schema), 1) == 1
+    recover_stream.write_batch(out, spark.createDataFrame([(3, 0.3)], schema), 1)
     assert spark.read.parquet(out).count() == 3
+    assert [r["event_id"] for r in recover_stream.best_of_batches(spark, out, [], ["-value"], 2).orderBy("rank").collect()] == [3, 2]
     with pytest.raises(ValueError):
         go({"a": 2})

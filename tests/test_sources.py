@@ -36,6 +36,9 @@ def test_listing_and_labels(spark, dataset):
     d = str(dataset)
     assert sorted(r["relative"] for r in files.images(spark, d, ["train", "val", "none"]).collect()) == ["a.png", "broken.jpg", "copy.PNG", "flat.png", "wide.png"]
     assert [(r["image"], r["class_id"]) for r in files.boxes(files.label_lines(spark, d, ["train"])).orderBy("image").collect()] == [("a", 0), ("orphan", 0)]
+    (dataset / "labels/train/many.txt").write_text("0 .5 .5 .1 .1\r\n\n1 .5 .5 .1 .1\nx")
+    assert [(r["line_no"], r["value"]) for r in files.label_lines(spark, d, ["train"]).filter("file = 'many'").orderBy("line_no").collect()] == [(1, "0 .5 .5 .1 .1"), (2, ""), (3, "1 .5 .5 .1 .1"), (4, "x")]
+    (dataset / "labels/train/many.txt").unlink()
     assert {r["stem"]: r["size"] for r in files.label_files(spark, d, ["train"]).collect()}["flat"] == 0
     hashes = files.image_hashes(spark, d, ["train", "val"]).groupBy("hash").count().filter("count = 2").count()
     assert hashes == 1 and files.corrupt_images(spark, d).count() == 1
@@ -93,13 +96,49 @@ def test_calibrate_and_consensus_verbs(spark, tmp_path, capsys):
 
 
 def test_run_verb_twice_is_the_same(spark, dataset, tmp_path):
-    (tmp_path / "p.csv").write_text("split,image,class_name,conf,cx,cy,w,h\ntrain,a.png,person,0.9,0.5,0.5,0.2,0.2\ntrain,a.png,helmet,0.9,0.2,0.2,0.1,0.1\ntrain,flat.png,person,0.6,0.5,0.5,0.2,0.2\n")
+    (tmp_path / "p.csv").write_text("split,image,class_name,conf,cx,cy,w,h\ntrain,a.png,person,0.9,0.5,0.5,0.2,0.2\ntrain,a.png,helmet,0.9,0.2,0.2,0.1,0.1\ntrain,flat.png,person,0.6,0.5,0.5,0.2,0.2\nval,wide.png,person,0.8,0.1234565,0.5,0.2,0.2\n")
+    out = tmp_path / "run"
     for _ in range(2):
-        assert cli.main(["run", str(dataset), str(tmp_path / "p.csv"), str(tmp_path / "run"), "--apply"]) == 0
-        assert spark.read.parquet(str(tmp_path / "run/candidates")).groupBy("mode").count().count() == 2
-        lines = spark.read.text(str(tmp_path / "run/labels"))
-        assert lines.filter("image = 'a'").count() == 2
-    assert cli.main(["report", str(tmp_path / "run")]) == 0 and cli.main(["doctor"]) == 0
+        assert cli.main(["run", str(dataset), str(tmp_path / "p.csv"), str(out), "--trainable"]) == 0
+        assert spark.read.parquet(str(out / "candidates")).groupBy("mode").count().count() == 2
+        assert (out / "labels/train/a.txt").read_text() == "0 0.5 0.5 0.2 0.2\n1 0.200000 0.200000 0.100000 0.100000\n"
+        assert (out / "labels/val/wide.txt").read_text() == "0 0.123457 0.500000 0.200000 0.200000\n" or f"{0.1234565:.6f}" in (out / "labels/val/wide.txt").read_text()
+        assert (out / "labels/train/flat.txt").read_text() == "" and (out / "labels/train/orphan.txt").exists()
+        made = out / "trainable"
+        assert (made / "images/train/a.png").samefile(dataset / "images/train/a.png") and (made / "labels/train/a.txt").read_text() == (out / "labels/train/a.txt").read_text()
+        assert config.load_class_names(made / "data.yaml") == ["person", "helmet"]
+        data = json.loads((out / "run.json").read_text())
+        assert data["totals"]["auto"] == 2 and data["images"] == {"linked": 5, "copied": 0} and data["labels_added"] == 2
+        assert "all: predictions" in (out / "summary.txt").read_text() and not list(out.rglob("*.part"))
+    # The package's own reader finds the tree.
+    assert files.boxes(files.label_lines(spark, str(out), ["train", "val"])).count() == 5
+    assert cli.main(["report", str(out)]) == 0 and cli.main(["doctor"]) == 0
+    assert {h["series"] for h in json.loads((out / "report.json").read_text())["histograms"]} == {"auto_conf", "review_conf", "auto_iou"}
+
+
+def test_merged_text_and_names():
+    assert sinks.merged_text("1 a\n2 b", ["2 b", "3 c", "3 c"]) == ("1 a\n2 b\n3 c\n", 1) and sinks.merged_text(None, ["x"]) == ("x\n", 1) and sinks.merged_text("x \n", ["x"]) == ("x \n", 0)
+    for bad in ("", "../x", "a/../b", "/a", "a//b", "a\\b"):
+        with pytest.raises(ValueError):
+            sinks.safe_name(bad)
+
+
+def test_agreed_labels_only_and_into_an_empty_folder(spark, tmp_path):
+    head = "split,image,class_name,conf,mode,cx,cy,w,h\n"
+    (tmp_path / "p.csv").write_text(head + "train,images/train/Sub/A.jpg,helmet,0.9,auto,0.5,0.5,0.2,0.2\ntrain,images/train/Sub/A.jpg,person,0.9,auto,0.2,0.2,0.1,0.1\ntrain,b.jpg,helmet,0.9,auto,0.5,0.5,0.2,0.2\n")
+    (tmp_path / "v.csv").write_text(head + "train,images/train/sub/a.jpg,helmet,0.8,auto,0.5,0.5,0.2,0.2\ntrain,images/train/sub/a.jpg,person,0.8,auto,0.2,0.2,0.1,0.1\n")
+    (tmp_path / "data.yaml").write_text("names: [person, helmet]\n")
+    args = ["consensus", str(tmp_path / "p.csv"), str(tmp_path / "v.csv"), str(tmp_path / "con"), "--names", str(tmp_path / "data.yaml"), "--labels", str(tmp_path / "agreed")]
+    cli.main(args)
+    assert [p.relative_to(tmp_path / "agreed").as_posix() for p in (tmp_path / "agreed").rglob("*.txt")] == ["train/Sub/A.txt"]
+    assert (tmp_path / "agreed/train/Sub/A.txt").read_text() == "1 0.500000 0.500000 0.200000 0.200000\n0 0.200000 0.200000 0.100000 0.100000\n"
+    with pytest.raises(ValueError, match="not empty"):
+        cli.main(args)
+    assert json.loads((tmp_path / "con/status.json").read_text())["status"] == "failed"
+    (tmp_path / "data.yaml").write_text("names: [person]\n")
+    with pytest.raises(ValueError, match="no number"):
+        cli.main([*args[:-1], str(tmp_path / "other")])
+    assert json.loads((tmp_path / "con/status.json").read_text())["resume_count"] == 1
 
 
 def test_settings(tmp_path):
