@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import sys
 from collections.abc import Callable
-from pathlib import Path
 
 import numpy as np
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.plans import shipping
 from sievemark.plans.tables import apart
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -39,16 +36,8 @@ def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
 
 
 def ship(module: str) -> None:
-    """Let executors run ``module``'s functions even if they cannot import this package.
-
-    Where the package's folder is on PYTHONPATH, executors import it; else its
-    functions travel inside the task.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = [os.path.realpath(p) for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] if p]
-    if root not in known:
-        for name in (module, __name__):
-            cloudpickle.register_pickle_by_value(sys.modules[name])
+    """Let executors run ``module``'s functions, and these, even if they cannot import this package."""
+    shipping.ship(module, __name__)
 
 
 def remembered(table: dict, key, make: Callable, most: int):
