@@ -2,6 +2,8 @@ import itertools
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from sievemark.llm import packing as K
 from sievemark.llm.catalogue import op9_packing
 
@@ -52,6 +54,26 @@ def test_odd_rows(spark, monkeypatch):
     assert K.pack(df.limit(0)).count() == 0
 
 
+def test_equal_rows_are_counted_and_dealt_out(spark, monkeypatch):
+    """Rows without an id and of one length, more than a step holds, fill batches without gaps."""
+    monkeypatch.setattr(K, "STEP", 7)
+    df = spark.createDataFrame([(None, "a b c")] * 100 + [(5, "a b")] * 30 + [(6, "x " * 200)] * 3, "doc_id long, text string")
+    whole(K.pack(df, longest=64, buckets=3, budget=16).collect(), [(None, 3)] * 100 + [(5, 2)] * 30 + [(6, 200)] * 3, 64, 16)
+
+
+def test_lengths_of_a_tokenizer(spark):
+    import public_tokenizers
+    import tiktoken  # noqa: F401
+
+    df = spark.createDataFrame([(1, "three little words"), (2, None), (3, "x" * 500)], "doc_id long, text string")
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    sized = K.token_lengths(df, path, pattern)
+    n = {r["doc_id"]: r["n_tokens"] for r in sized.collect()}
+    assert n[2] == 0 and 3 <= n[1] <= 8 and n[3] > 5
+    rows = K.pack(sized, F.col("n_tokens"), longest=10).collect()
+    whole(rows, [(d, x) for d, x in n.items()], 10, K.BUDGET)
+
+
 def test_driver_table(spark):
     rows = op9_packing(spark, "/root/testdata/sf0.01").collect()
     texts = [(r["doc_id"], len(r["text"].encode().split())) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]

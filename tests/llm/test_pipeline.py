@@ -39,10 +39,8 @@ def test_stages_in_turn(spark):
         before = after
     rows = P.pack(spark, spark.createDataFrame(before, docs.schema), DIR).collect()
     whole(rows, [(r["doc_id"], len(r["text"].encode().split())) for r in before], packing.LONGEST, packing.BUDGET)
-
-
-def test_run_is_the_stages(spark):
-    assert P.run(spark, "/root/testdata/sf0.001").count() > 100
+    # run() is these stages, one after the other, over the whole table.
+    assert Counter(map(tuple, P.run(spark, DIR).collect())) == Counter(map(tuple, rows))
 
 
 def test_odd_rows_and_empty_tables(spark):
@@ -50,5 +48,15 @@ def test_odd_rows_and_empty_tables(spark):
     for _, stage in P.STAGES:
         assert stage(spark, df.limit(0), DIR).count() == 0
         assert stage(spark, df, DIR).count() > 0
-    kept = Counter(r["doc_id"] for r in P.near_duplicates(spark, df, DIR).collect())
-    assert max(kept.values()) == 1 and kept[None] == 1
+    kept = Counter((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, df, DIR).collect())
+    assert max(kept.values()) == 1 and sum(n for (d, _), n in kept.items() if d is None) == 1
+
+
+def test_mixed_languages_stay(spark):
+    """A document in three known languages stays; one without letters goes."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    parts = [r["t"] for r in docs.filter("lang is not null and n_chars between 300 and 3000").groupBy("lang").agg({"text": "min"}).toDF("lang", "t").orderBy("lang").collect()]
+    mixed = " ".join(p[:300] for p in parts)
+    more = spark.createDataFrame([(10**9, mixed, None, None, len(mixed)), (10**9 + 1, "123 --- ½", None, None, 9)], docs.schema)
+    kept = {r["doc_id"] for r in P.language(spark, docs.union(more), DIR).collect()}
+    assert 10**9 in kept and 10**9 + 1 not in kept

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sievemark.llm import toxicity as X
 
@@ -33,6 +34,56 @@ def test_held_out_accuracy_and_order_of_the_chain(spark):
     assert min(sustained) > 0.5 > max(out[i]["p_sustained"] for i, _, bad in rows if not bad)
 
 
+def test_driver_table_held_out(spark):
+    """Labels of a fifth of the documents are not learned from."""
+    from sievemark.llm.catalogue import held_out
+
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    model = X.train(docs.select("doc_id", "text"), labels.filter(~held_out()))
+    unseen = docs.join(labels.filter(held_out() & F.col("toxic").isNotNull()), "doc_id").select("doc_id", "text", "toxic")
+    got = X.predict(unseen, model).select("toxic", "is_toxic").collect()
+    bad = [r["is_toxic"] for r in got if r["toxic"] == 1]
+    clean = [r["is_toxic"] for r in got if r["toxic"] == 0]
+    assert len(bad) > 50 and np.mean(bad) > 0.8 and np.mean(clean) < 0.02
+
+
+def test_folds_never_see_their_own_documents(monkeypatch):
+    """Words, markers and targets of a fold come from the others: a document's own label cannot make its words markers."""
+    seen = []
+    chosen = X.Corpus.chosen
+    monkeypatch.setattr(X.Corpus, "chosen", lambda self, rows: seen.append(rows.copy()) or chosen(self, rows))
+    rows = made(120)
+    X.fit([r[1] for r in rows], [r[2] for r in rows])
+    assert seen[0].all() and len(seen) == 1 + X.FOLDS and (np.sum([~r for r in seen[1:]], axis=0) == 1).all()
+    corpus = X.Corpus([r[1] for r in rows], [r[2] for r in rows])
+    some = np.arange(len(corpus.y)) % 3 > 0
+    alone = X.Corpus([r[1] for r, ok in zip(rows, some, strict=True) if ok], [r[2] for r, ok in zip(rows, some, strict=True) if ok])
+    a, b = corpus.chosen(some), alone.chosen(np.ones(len(alone.y), dtype=bool))
+    assert set(corpus.names[a[1]]) == set(alone.names[b[1]]) and set(corpus.names[a[0]]) == set(alone.names[b[0]])
+
+
+def test_features_in_training_are_those_of_prediction():
+    rows = made(80)
+    texts, y = [r[1] for r in rows], [r[2] for r in rows]
+    corpus, model = X.Corpus(texts, y), X.fit(texts, y)
+    words, marks = corpus.chosen(np.ones(len(corpus.y), dtype=bool))
+    assert np.array_equal(corpus.features(words, marks)[0], model.features(list(dict.fromkeys(texts))))
+
+
+def test_one_text_for_an_id_and_ids_of_text(spark):
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t, _ in made(60)] * 2 + [("d0", f"text {i}") for i in range(200)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", y) for i, _, y in made(60)], "doc_id string, toxic int")
+    collected = []
+    fit = X.fit
+    X.fit = lambda texts, y: collected.append(len(texts)) or fit(texts, y)
+    try:
+        assert X.train(docs, labels).weights
+    finally:
+        X.fit = fit
+    assert collected == [60]
+
+
 def test_driver_table(spark):
     from sievemark.llm.catalogue import op5_toxicity
 
