@@ -54,7 +54,9 @@ def tenth(v: Column) -> Column:
 
 
 def normalized_image(c: Column) -> Column:
-    return F.lower(F.regexp_replace(F.trim(c), r"\\", "/"))
+    """Trimmed, with slashes, and folded: besides lower case, sharp s is two letters and a final sigma a sigma."""
+    low = F.lower(F.regexp_replace(F.trim(c), r"\\", "/"))
+    return F.translate(F.regexp_replace(low, "ß", "ss"), "ς", "σ")
 
 
 def verdict(c: Column) -> Column:

@@ -40,6 +40,8 @@ def test_scores(spark):
     assert [value(spark, scores.unit_float(F.lit(t))) for t in (" 0.5 ", "nan", "1.1", "x", "")] == [0.5, None, None, None, None]
     assert [value(spark, scores.verdict(F.lit(t))) for t in (" Accept", "FP", "maybe")] == [True, False, None]
     assert value(spark, scores.normalized_image(F.lit(" A\\b.JPG "))) == "a/b.jpg"
+    assert value(spark, scores.normalized_image(F.lit("STRASSE/Straße ς"))) == "STRASSE/Straße ς".casefold()
+    assert value(spark, scores.sample_name(F.lit("train"), F.lit("x/a.b.png"))) == "train_a.b_png.jpg" and value(spark, scores.progress_key(F.lit("helmet"), F.lit("val"))) == "helmet/val"
 
 
 def reviewed(spark, rows):
