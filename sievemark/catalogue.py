@@ -353,8 +353,9 @@ def near_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.clusters(fingerprint_table(spark, sf_dir), **LIMITS)
 
 
-@query(f"WITH RECURSIVE {_CLUSTERS} SELECT (SELECT count(*) FROM fp) AS images, count(DISTINCT cluster) AS clusters, count(*) AS clustered_images, count(DISTINCT cluster) FILTER (cross_split) AS cross_split_clusters, coalesce(max(size), 0) AS largest, count(*) - count(DISTINCT cluster) AS redundant_images, count(*) FILTER (cross_split) AS cross_split_images, coalesce(sum(size - 1)::BIGINT // 2, 0) AS pairs_within,
-(SELECT count(*) FROM fp) - count(*) AS single_images, (SELECT count(*) FROM fp) AS files, 0::BIGINT AS failures FROM clusters")
+@query(f"""WITH RECURSIVE {_CLUSTERS} SELECT (SELECT count(*) FROM fp) AS images, count(DISTINCT cluster) AS clusters, count(*) AS clustered_images, count(DISTINCT cluster) FILTER (cross_split) AS cross_split_clusters, coalesce(max(size), 0) AS largest,
+count(*) - count(DISTINCT cluster) AS redundant_images, count(*) FILTER (cross_split) AS cross_split_images, coalesce(sum(size - 1)::BIGINT // 2, 0) AS pairs_within, (SELECT count(*) FROM fp) - count(*) AS single_images,
+(SELECT count(*) FROM fp) AS files, 0::BIGINT AS failures FROM clusters""")
 def near_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A15."""
     fp = fingerprint_table(spark, sf_dir)
