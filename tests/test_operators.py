@@ -182,7 +182,7 @@ def naive_queue(pool, budget, weights):
     return out
 
 
-@pytest.mark.parametrize("ahead", [2, 1024])
+@pytest.mark.parametrize("ahead", [7, 1024])
 def test_queue_against_its_definition(spark, monkeypatch, ahead):
     monkeypatch.setattr(prioritize, "AHEAD", ahead)
     rng = random.Random(8)
