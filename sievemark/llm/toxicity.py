@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -106,43 +107,48 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Corpus:
-    """The training documents' words and their forms as numbered columns."""
+    """The training documents' words and their forms as numbered columns, forms of too few documents left out."""
 
     def __init__(self, texts: list[str], toxic: list[int]):
         unique = dict(zip(texts, toxic, strict=True))  # copies would leak between folds
         self.y = np.array(list(unique.values()), dtype=float)
-        vocabulary, self.forms = {}, {}
-        doc, word, times, of_word, of_form = [], [], [], [], []
-        for i, t in enumerate(unique):
+        # Compact arrays: the driver holds all of it at once.
+        vocabulary, numbers, spelled = {}, {}, []
+        word, times, begins = array("i"), array("i"), array("i", [0])
+        for t in unique:
             for w, n in Counter(WORD.findall(t.lower())).items():
                 if w not in vocabulary:
                     vocabulary[w] = len(vocabulary)
-                    for f in forms(w):
-                        of_word.append(vocabulary[w])
-                        of_form.append(self.forms.setdefault(f, len(self.forms)))
-                doc.append(i)
+                    spelled.append(tuple(numbers.setdefault(f, len(numbers)) for f in forms(w)))
                 word.append(vocabulary[w])
                 times.append(n)
-        self.doc, self.word, self.times = (np.array(x, dtype=np.int64) for x in (doc, word, times))
-        self.of_word, self.of_form = (np.array(x, dtype=np.int64) for x in (of_word, of_form))
+            begins.append(len(word))
+        held, sizes = array("i"), array("i")
+        for i in range(len(self.y)):
+            own = set().union(*(spelled[w] for w in word[begins[i] : begins[i + 1]]))
+            held.extend(own)
+            sizes.append(len(own))
+        form, doc = np.array(held, dtype=np.int32), np.repeat(np.arange(len(self.y), dtype=np.int32), np.array(sizes, dtype=np.int32))
+        often = np.bincount(form, minlength=len(numbers)) >= MARKER_DOCUMENTS
+        place = np.cumsum(often) - 1
+        #: Each document with each form that it holds, once.
+        self.held_doc, self.held_form = doc[often[form]], place[form[often[form]]].astype(np.int32)
+        self.names = np.array(list(numbers), dtype=object)[often]
         self.n_words = len(vocabulary)
-        # Each document with each form that it holds, once.
-        sizes = np.bincount(self.of_word, minlength=self.n_words)
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[self.word]
-        at = np.repeat(starts[self.word], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        held = np.unique(np.repeat(self.doc, each) * len(self.forms) + self.of_form[at])
-        self.held_doc, self.held_form = np.divmod(held, max(1, len(self.forms)))
-        self.names = np.array(list(self.forms), dtype=object)
+        of_word = np.repeat(np.arange(self.n_words, dtype=np.int32), [len(x) for x in spelled])
+        of_form = np.array([f for x in spelled for f in x], dtype=np.int32)
+        self.of_word, self.of_form = of_word[often[of_form]], place[of_form[often[of_form]]].astype(np.int32)
+        self.doc = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(np.array(begins)))
+        self.word, self.times = np.array(word, dtype=np.int32), np.array(times, dtype=np.int32)
 
     def chosen(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the documents ``rows`` alone: the forms that tell most, and which forms mark toxic documents."""
         seen = rows[self.held_doc]
-        n = np.bincount(self.held_form[seen], minlength=len(self.forms))
-        bad = np.bincount(self.held_form[seen & (self.y[self.held_doc] > 0)], minlength=len(self.forms))
+        n = np.bincount(self.held_form[seen], minlength=len(self.names))
+        bad = np.bincount(self.held_form[seen & (self.y[self.held_doc] > 0)], minlength=len(self.names))
         often = np.flatnonzero(n >= MARKER_DOCUMENTS)
         share = self.y[rows].mean()
-        marks = np.zeros(len(self.forms), dtype=bool)
+        marks = np.zeros(len(self.names), dtype=bool)
         marks[often] = [bad[f] >= MARKER_DOCUMENTS and _wilson(bad[f], n[f]) >= MARKER_SHARE for f in often]
         # How far a form's share of toxic documents is from the overall share, in standard errors.
         gain = np.abs(bad[often] - n[often] * share) / np.sqrt(n[often] * max(1e-9, share * (1 - share)))
@@ -151,7 +157,7 @@ class Corpus:
 
     def features(self, words: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``Model.features`` for all documents, and the number of marker words of each."""
-        at = np.full(len(self.forms) + 1, -1)
+        at = np.full(len(self.names) + 1, -1)
         at[words] = np.arange(len(words))
         x = np.zeros((len(self.y), len(words) + 1))
         place = at[self.held_form]
