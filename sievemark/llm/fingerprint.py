@@ -20,6 +20,8 @@ empty table gives an empty result; a single document is its own next document.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,7 +129,9 @@ def _bucketed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     step = max(1, int(len(bounds) ** 0.5))
     kind = rows.schema["at"].dataType
     schema = T.StructType([T.StructField("low", kind), T.StructField("coarse", T.ArrayType(kind)), T.StructField("fine", T.ArrayType(T.ArrayType(kind)))])
-    known = docs.sparkSession.createDataFrame([(seen["low"], bounds[::step], [bounds[i : i + step] for i in range(0, len(bounds), step)])], schema)
+    shown = [p.asDict() for p in bounds]
+    text_of = json.dumps({"low": seen["low"] and seen["low"].asDict(), "coarse": shown[::step], "fine": [shown[i : i + step] for i in range(0, len(shown), step)]}, default=str)
+    known = docs.sparkSession.range(1).select(F.from_json(F.lit(text_of), schema).alias("k")).select("k.*")  # one literal, no Python rows
     below = lambda places: F.size(F.filter(places, lambda x: x <= F.col("at")))
     d = rows.join(F.broadcast(known), F.lit(True))  # one row, of MOST_BUCKETS places at most
     d = d.withColumn("g", below(F.col("coarse"))).withColumn("group", F.get("fine", F.col("g") - 1))

@@ -13,6 +13,7 @@ an empty result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,7 +65,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame =
     # The other columns travel in one, so none of their names can clash.
     kept = pages.select(F.struct(*[F.col(c) for c in pages.columns]).alias("row"), F.col(url).alias("url"))
     if not isinstance(rules, DataFrame):
-        rules = pages.sparkSession.createDataFrame(list(rules), "verdict string, host string, path string")
+        listed = F.from_json(F.lit(json.dumps([{"verdict": v, "host": h, "path": p} for v, h, p in rules])), "array<struct<verdict:string,host:string,path:string>>")
+        rules = pages.sparkSession.range(1).select(F.explode(listed).alias("r")).select("r.*")  # one literal, no Python rows
     table = rule_table(rules)
     shape = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths"), F.sum(F.length("host") + F.length("path") + 80).alias("bytes")).first()
     lengths = sorted(shape["lengths"])  # the lengths of a rule's path that occur
