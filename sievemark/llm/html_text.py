@@ -2,7 +2,8 @@
 
 Each page becomes a tree of its block elements in which an element's children of one
 kind are folded into one node. A host's pages are grouped by layout, the paths of their
-elements outside articles and runs of text. In each layout one page (of the commonest
+elements outside articles and runs of text: each that three pages have, however many; pages of rarer
+ones join the likest. In each layout one page (of the commonest
 paths the one with the smallest hash) is the model; every other page's tree is aligned
 with the model's by simple tree matching. A text that so many of the host's different pages have in the same node
 of a layout is template and goes; varying slots are content. Near copies of the model page count
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievemark.plans.tables import cut
+from sievemark.plans.tables import cut, fitted
 
 from .common import remembered, ship
 from .url_filter import url_host
@@ -79,8 +80,10 @@ RUN, SAME, ALL_SAME = 3, 0.5, 0.9
 #: Elements below which a page's layout does not look, and the depth to which it does.
 FLOWING = frozenset("address article blockquote caption dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li main ol p pre summary table ul".split())
 LAYOUT_DEPTH = 6
-#: Pages belong to a layout that shares so many of their paths; a host has so many layouts at most, looked for among its commonest sets of paths.
-LAYOUT_SAME, MOST_LAYOUTS, MOST_KEYS = 0.5, 4, 1000
+#: Pages belong to a layout that shares so many of their paths.
+LAYOUT_SAME = 0.5
+#: Sets of paths that one task looks up among a host's layouts, and rows that go back at once.
+SLICE, ROWS = 100_000, 1000
 #: Elements nested deeper belong to their ancestor at this depth when trees are aligned.
 DEEPEST = 50
 #: Model pages of all hosts are broadcast up to so many characters in all.
@@ -401,7 +404,6 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
 MODELS: dict = {}
 MODEL_BLOCKS: dict = {}
 MODEL_RUNS: dict = {}
-LAYOUT_PATHS: dict = {}
 
 
 def _model(page: str) -> tuple[Folded, dict[int, tuple[int, str]]]:
@@ -427,31 +429,89 @@ def layout_key(found: list[tuple[tuple[str, ...], str, int]]) -> str:
     return "\n".join(sorted(paths))
 
 
-def _paths(key: str) -> frozenset[str]:
-    return remembered(LAYOUT_PATHS, key, lambda: frozenset(key.split("\n")), 256)
+class Layouts:
+    """Sets of paths by number; the likest of a set is found without comparing it with all.
 
+    Postings by path and size of set are read from the rarest path on, as far as a set that
+    has none of the paths before can still be as like as the best one found. A path that
+    one set alone has takes a single number.
+    """
 
-def _shared(a: str, b: str) -> float:
-    x, y = _paths(a), _paths(b)
-    return len(x & y) / len(x | y)
-
+    def __init__(self):
+        self.sets: list[tuple[str, ...]] = []
+        self.holding: dict[str, int | dict[int, list[int]]] = {}
+
+    def add(self, key: str) -> None:
+        paths = tuple(key.split("\n"))
+        number = len(self.sets)
+        self.sets.append(paths)
+        for path in paths:
+            held = self.holding.setdefault(path, number)
+            if held == number:
+                continue
+            if isinstance(held, int):
+                held = self.holding[path] = {len(self.sets[held]): [held]}
+            held.setdefault(len(paths), []).append(number)
+
+    def likest(self, key: str, least: float = 0.0) -> int | None:
+        """The first of the sets that share most with a key's paths, at least that share of both together; None if there is none."""
+        own = set(key.split("\n"))
+        found = []
+        for path in own:
+            held = self.holding.get(path)
+            if held is not None:
+                held = {len(self.sets[held]): [held]} if isinstance(held, int) else held
+                found.append((sum(map(len, held.values())), path, held))
+        found.sort(key=lambda x: x[:2])
+        n, share, best = len(own), least, None
+        for i, (_, _, held) in enumerate(found):
+            left = len(found) - i
+            if left / n < share:
+                break
+            for size in sorted(held):
+                common = min(left, size)
+                bound = common / (n + size - common)
+                if bound < share:
+                    continue
+                for number in held[size]:
+                    if best is not None and (bound < share or bound == share and number > best):
+                        break
+                    both = len(own.intersection(self.sets[number]))
+                    now = both / (n + size - both)
+                    if now > share or now == share and (best is None or number < best):
+                        share, best = now, number
+        return best
+
+
+class Grouped:
+    """A host's keys grouped by layout, to be given by descending pages, then key; what is held grows with the layouts, not the keys."""
+
+    def __init__(self):
+        self.leaders, self.pages, self.firsts = Layouts(), [], []
+
+    def add(self, key: str, pages: int, first: tuple) -> None:
+        near = self.leaders.likest(key, LAYOUT_SAME)
+        if near is not None:
+            self.pages[near] += pages
+        else:
+            self.leaders.add(key)
+            self.pages.append(pages)
+            self.firsts.append(first)
 
-def own_layout(keys: list[str], key: str) -> int:
-    """The layout that shares most paths with a page; the first of equals."""
-    return max(range(len(keys)), key=lambda i: (_shared(keys[i], key), -i)) if len(keys) > 1 else 0
+    def chosen(self) -> list[tuple[str, tuple]]:
+        """(key, first) of each layout in order: the commonest and all others of enough pages for a wrapper."""
+        most = max(self.pages)
+        common = [i for i, n in enumerate(self.pages) if n >= min(most, LEAST_PAGES)]
+        ranked = sorted((-self.pages[i], "\n".join(self.leaders.sets[i]), i) for i in common)
+        return [(key, self.firsts[i]) for _, key, i in (ranked if most >= LEAST_PAGES else ranked[:1])]
 
 
 def choose_layouts(counted: list[tuple[str, int]]) -> list[str]:
     """Keys of a host's layouts, from its keys and their pages; layouts of too few pages for a wrapper join the others."""
-    leaders: dict[str, int] = {}
+    grouped = Grouped()
     for key, pages in sorted(counted, key=lambda x: (-x[1], x[0])):
-        near = max(leaders, key=lambda k: _shared(k, key), default=None)
-        if near is not None and _shared(near, key) >= LAYOUT_SAME:
-            leaders[near] += pages
-        else:
-            leaders[key] = pages
-    ranked = sorted(leaders, key=lambda k: (-leaders[k], k))
-    return ranked[:1] + [k for k in ranked[1:MOST_LAYOUTS] if leaders[k] >= LEAST_PAGES]
+        grouped.add(key, pages, ())
+    return [key for key, _ in grouped.chosen()]
 
 
 def _digest(path: str, text: str) -> str:
@@ -519,43 +579,102 @@ def _seen(model: str, found: list[tuple[tuple[str, ...], str, int]]) -> list[dic
     return out
 
 
-def layout_models(pages: DataFrame, host: str, html: str) -> DataFrame:
-    """Rows (host, layout, key, model): each host's layouts and the page that stands for each."""
+def _in_rows(rows, schema: pa.Schema):
+    """Record batches of ``rows``, tuples in the order of ``schema``."""
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+            held.clear()
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def _identified(pages: DataFrame) -> DataFrame:
+    return pages.withColumns({"hash": F.xxhash64("html"), "chars": F.length("html")})
+
+
+def layout_models(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """From rows (host, html): rows (host, layout, model), each host's layouts and the page that stands for each, and the pages' layouts.
+
+    The latter are rows (host, hash, chars, layout) of pages that are not of their host's
+    layout 0, or None if all are. A host's distinct sets of paths pass through one task,
+    sorted, and leave only the layouts there; which layout is the likest of a set is looked
+    up in slices.
+    """
     ship(__name__)
-    keyed = pa.schema([("host", pa.string()), ("key", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())])
-    chosen = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("key", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())])
+    keyed_schema = pa.schema([("host", pa.string()), ("key", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())])
+    leader_schema = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("key", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())])
+    assigned_schema = pa.schema([("host", pa.string()), ("key", pa.string()), ("layout", pa.int32())])
 
     def keys(batches):
         for b in batches:
             made = [layout_key(page_blocks(page)) for page in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(made, pa.string()), b.column("hash"), b.column("chars")], schema=keyed)
+            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(made, pa.string()), b.column("hash"), b.column("chars")], schema=keyed_schema)
 
     def choose(batches):
-        for b in batches:
-            rows = []
-            for h, found in zip(b.column("host").to_pylist(), b.column("found").to_pylist(), strict=True):
-                at = {x["key"]: x for x in found}
-                rows += [{"host": h, "layout": i, "key": k, "hash": at[k]["hash"], "chars": at[k]["chars"]} for i, k in enumerate(choose_layouts([(x["key"], x["pages"]) for x in found]))]
-            yield pa.RecordBatch.from_pylist(rows, schema=chosen)
-
-    p = pages.select(F.col(host).alias("host"), F.col(html).alias("html")).withColumns({"hash": F.xxhash64("html"), "chars": F.length("html")})
-    counted = p.select("host", "html", "hash", "chars").mapInArrow(keys, "host string, key string, hash bigint, chars int").groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"), F.min(F.struct("hash", "chars")).alias("first"))
-    common = counted.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("pages"), "key"))).filter(F.col("rank") <= MOST_KEYS)
-    listed = common.groupBy("host").agg(F.collect_list(F.struct("key", "pages", "first.hash", "first.chars")).alias("found"))
-    leaders = cut(listed.select("host", "found").mapInArrow(choose, "host string, layout int, key string, hash bigint, chars int"))
-    # A leader takes some 64 characters besides its key.
-    size = leaders.agg(F.sum(F.length("key") + 64).alias("n")).first()["n"] or 0
-    met = p.join(F.broadcast(leaders) if size <= BROADCAST_CHARS else leaders, ["host", "hash", "chars"])
-    return met.groupBy("host", "layout").agg(F.first("key").alias("key"), F.min("html").alias("model"))
-
-
-def statistics(pages: DataFrame, host: str, html: str, models: str) -> DataFrame:
+        def rows():
+            host, grouped = None, None
+            for b in batches:
+                for h, key, n, hashed, chars in zip(*[b.column(x).to_pylist() for x in ("host", "key", "pages", "hash", "chars")], strict=True):
+                    if grouped is None or h != host:
+                        yield from chosen(host, grouped)
+                        host, grouped = h, Grouped()
+                    grouped.add(key, n, (hashed, chars))
+            yield from chosen(host, grouped)
+
+        def chosen(host, grouped):
+            for i, (key, first) in enumerate(grouped.chosen() if grouped else []):
+                yield host, i, key, *first
+
+        return _in_rows(rows(), leader_schema)
+
+    def assign(batches):
+        def rows():
+            at, layouts = None, Layouts()
+            for b in batches:
+                for h, part, layout, key in zip(*[b.column(x).to_pylist() for x in ("host", "slice", "layout", "key")], strict=True):
+                    if at != (h, part):
+                        at, layouts = (h, part), Layouts()
+                    if layout is not None:
+                        layouts.add(key)
+                    elif likest := layouts.likest(key) or 0:
+                        yield h, key, likest
+
+        return _in_rows(rows(), assigned_schema)
+
+    p = _identified(pages)
+    keyed = cut(p.select("host", "html", "hash", "chars").mapInArrow(keys, "host string, key string, hash bigint, chars int"))
+    counted = keyed.groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"), F.min(F.struct("hash", "chars")).alias("first"))
+    listed = counted.select("host", "key", "pages", "first.hash", "first.chars").repartition("host").sortWithinPartitions("host", F.desc("pages"), "key")
+    leaders = cut(listed.mapInArrow(choose, "host string, layout int, key string, hash bigint, chars int"))
+    models = cut(p.join(fitted(leaders.drop("key"), 128), ["host", "hash", "chars"]).groupBy("host", "layout").agg(F.min("html").alias("model")))
+    more = leaders.filter("layout > 0").select("host").distinct()
+    if more.isEmpty():
+        return models, None
+    slices = cut(counted.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).join(more, "host"))
+    own = counted.join(slices, "host").select("host", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"), F.lit(None).cast("int").alias("layout"), "key")
+    its = leaders.join(slices, "host").select("host", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "layout", "key")
+    sought = own.union(its).repartition("host", "slice").sortWithinPartitions("host", "slice", F.asc_nulls_last("layout"))
+    assigned = cut(sought.mapInArrow(assign, "host string, key string, layout int"))
+    placed = cut(keyed.join(assigned, ["host", "key"]).groupBy("host", "hash", "chars").agg(F.min("layout").alias("layout")))
+    return models, fitted(placed, 128)
+
+
+def _placed(pages: DataFrame, layouts: DataFrame | None) -> DataFrame:
+    """``pages`` (host, html, ...) with their layout."""
+    if layouts is None:
+        return pages.withColumn("layout", F.lit(0))
+    return _identified(pages).join(layouts, ["host", "hash", "chars"], "left").withColumn("layout", F.coalesce("layout", F.lit(0))).drop("hash", "chars")
+
+
+def statistics(pages: DataFrame) -> DataFrame:
     """Rows (host, layout, seen): for each node and text of a layout's model page the pages that have it and their varying characters.
 
-    ``models`` lists the host's layouts in order, as (layout, key, model). Pages that show
-    the same text count once, and so do near copies of the model page: copies make no text
-    constant. Only the model's texts can be constant, so other pages' near copies need no
-    comparison.
+    ``pages`` has rows (host, layout, html, model). Pages that show the same text count once,
+    and so do near copies of the model page: copies make no text constant. Only the model's
+    texts can be constant, so other pages' near copies need no comparison.
     """
     ship(__name__)
     schema = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("signature", pa.binary()), ("seen", pa.list_(SEEN))])
@@ -563,18 +682,15 @@ def statistics(pages: DataFrame, host: str, html: str, models: str) -> DataFrame
     def run(batches):
         for b in batches:
             rows = []
-            for h, page, known in zip(b.column(host).to_pylist(), b.column(html).to_pylist(), b.column(models).to_pylist(), strict=True):
-                if not known:
-                    continue
-                found = page_blocks(page or "")
-                i = own_layout([x["key"] for x in known], layout_key(found))
-                like = known[i]["model"] or ""
+            # One layout after another, so that a batch reads each model page once.
+            for h, i, like, page in sorted(zip(*[b.column(x).to_pylist() for x in ("host", "layout", "model", "html")], strict=True), key=lambda x: x[:2]):
+                found = page_blocks(page)
                 own = _model_blocks(like)
                 found = own if near_copy(own, found) else found
                 rows.append({"host": h, "layout": i, "signature": _signature(found), "seen": _seen(like, found)})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    once = pages.select(host, html, models).mapInArrow(run, STATS).groupBy("host", "layout", "signature").agg(F.first("seen").alias("seen"))
+    once = pages.select("host", "layout", "html", "model").mapInArrow(run, STATS).groupBy("host", "layout", "signature").agg(F.first("seen").alias("seen"))
     sums = once.select("host", "layout", F.explode("seen").alias("s")).groupBy("host", "layout", "s.node", "s.text").agg(F.count(F.lit(1)).alias("pages"), F.sum("s.varying").alias("varying"), F.sum("s.links").alias("links"))
     # A layout's list is as long as its model page has nodes and texts.
     return sums.groupBy("host", "layout").agg(F.collect_list(F.struct("node", "text", "pages", "varying", "links")).alias("seen"))
@@ -622,32 +738,29 @@ def induce(model: str, seen: list[dict]) -> Wrapper:
 
 
 def wrappers(models: DataFrame, stats: DataFrame) -> DataFrame:
-    """Rows (host, layout, key, region, menus, constants, known) from ``models`` (host, layout, key, model) and ``stats``."""
+    """Rows (host, layout, region, menus, constants, known) from ``models`` (host, layout, model) and ``stats``."""
     ship(__name__)
-    schema = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("key", pa.string()), ("region", pa.string()), ("menus", pa.list_(pa.string())), ("constants", pa.list_(pa.string())), ("known", pa.bool_())])
+    schema = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("region", pa.string()), ("menus", pa.list_(pa.string())), ("constants", pa.list_(pa.string())), ("known", pa.bool_())])
 
     def run(batches):
         for b in batches:
             rows = []
-            for h, layout, key, model, seen in zip(*[b.column(x).to_pylist() for x in ("host", "layout", "key", "model", "seen")], strict=True):
+            for h, layout, model, seen in zip(*[b.column(x).to_pylist() for x in ("host", "layout", "model", "seen")], strict=True):
                 w = induce(model, seen or [])
-                rows.append({"host": h, "layout": layout, "key": key, "region": w.region, "menus": sorted(w.menus), "constants": sorted(w.constants), "known": w.known})
+                rows.append({"host": h, "layout": layout, "region": w.region, "menus": sorted(w.menus), "constants": sorted(w.constants), "known": w.known})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    joined = models.join(stats, ["host", "layout"], "left").select("host", "layout", "key", "model", "seen")
-    return joined.mapInArrow(run, "host string, layout int, key string, region string, menus array<string>, constants array<string>, known boolean")
+    joined = models.join(stats, ["host", "layout"], "left").select("host", "layout", "model", "seen")
+    return joined.mapInArrow(run, "host string, layout int, region string, menus array<string>, constants array<string>, known boolean")
 
 
 def extract_page(page: str, wrapper: Wrapper = Wrapper()) -> str:
-    """The page's text, given its host's wrapper."""
-    return _extracted(parse(page), None, wrapper)
-
-
-def _extracted(root: Node, found: list[tuple[tuple[str, ...], str, int]] | None, wrapper: Wrapper) -> str:
+    """The page's text, given its layout's wrapper."""
+    root = parse(page)
     if not wrapper.known:
         nodes = content_nodes(root)
         return "\n".join(text for n in nodes or [root] for _, text, _ in blocks(n, bool(nodes)))
-    shown = [("".join(f"/{x}" for x in path), text, 2 * links > len(text)) for path, text, links in (blocks(root, False) if found is None else found)]
+    shown = [("".join(f"/{x}" for x in path), text, 2 * links > len(text)) for path, text, links in blocks(root, False)]
     inside = [x for x in shown if f"{x[0]}/".startswith(f"{wrapper.region}/")] if wrapper.region else []
     if wrapper.region and not inside:
         inside = [x for x in shown if re.search(r"/(?:article|main)[./]", f"{x[0]}/")]
@@ -656,24 +769,9 @@ def _extracted(root: Node, found: list[tuple[tuple[str, ...], str, int]] | None,
     return "\n".join(text for path, text, _ in shown if path not in wrapper.menus and _digest(path, text) not in wrapper.constants)
 
 
-def extract_laid_out(page: str, layouts: list[dict]) -> str:
-    """The page's text, given the wrappers of its host's layouts."""
-    root = parse(page)
-    if not layouts:
-        return _extracted(root, None, Wrapper())
-    found = blocks(root, False)
-    w = layouts[own_layout([x["key"] for x in layouts], layout_key(found))]
-    return _extracted(root, found, Wrapper(w["region"], frozenset(w["menus"]), frozenset(w["constants"]), w["known"]))
-
-
 def _attach(pages: DataFrame, layouts: DataFrame, chars: int) -> DataFrame:
-    """Each page's host's layouts; above the size for broadcasting both sides are plain shuffles, so Spark can split a large host."""
-    return pages.join(F.broadcast(layouts) if chars <= BROADCAST_CHARS else cut(layouts), "host", "left")
-
-
-def _listed(layouts: DataFrame, *columns: str) -> DataFrame:
-    """Rows (host, layouts): a host's layouts in order."""
-    return layouts.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("layout", *columns))).alias("layouts"))
+    """What ``layouts``, a written table, has of each page's layout; above the size for broadcasting both sides are plain shuffles, so Spark can split a large one."""
+    return pages.join(F.broadcast(layouts) if chars <= BROADCAST_CHARS else layouts, ["host", "layout"], "left")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -683,17 +781,18 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     # The other columns travel in one, so none of their names can clash.
     p = pages.select(F.struct(*[F.col(f.name) for f in kept]).alias("row"), F.col(html).alias("html"), url_host(F.col(url)).alias("host"))
     filled = p.filter("html is not null").select("host", "html")
-    models = cut(layout_models(filled, "host", "html"))
-    size = models.agg(F.sum(F.length("key") + F.length("model")).alias("n")).first()["n"] or 0
-    with_models = _attach(filled, _listed(models, "key", "model"), size)
-    w = cut(wrappers(models, statistics(with_models, "host", "html", "layouts")))
+    models, layouts = layout_models(filled)
+    size = models.agg(F.sum(F.length("model")).alias("n")).first()["n"] or 0
+    w = cut(wrappers(models, statistics(_attach(_placed(filled, layouts), models, size))))
     size = w.agg(F.sum(F.length(F.to_json(F.struct(*w.columns)))).alias("n")).first()["n"] or 0
-    joined = _attach(p, _listed(w, "key", "region", "menus", "constants", "known"), size)
+    joined = _attach(_placed(p, layouts), w, size)
     schema = T.StructType([T.StructField("row", T.StructType(kept)), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches):
         for b in batches:
-            texts = [extract_laid_out(page, known or []) if page else "" for page, known in zip(b.column("html").to_pylist(), b.column("layouts").to_pylist(), strict=True)]
+            texts = []
+            for page, region, menus, constants, known in zip(*[b.column(x).to_pylist() for x in ("html", "region", "menus", "constants", "known")], strict=True):
+                texts.append(extract_page(page, Wrapper(region, frozenset(menus), frozenset(constants), True) if known else Wrapper()) if page else "")
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.fieldNames())
 
-    return joined.select("row", "html", "layouts").mapInArrow(run, schema).select("row.*", "text", "n_chars")
+    return joined.select("row", "html", "region", "menus", "constants", "known").mapInArrow(run, schema).select("row.*", "text", "n_chars")

@@ -142,6 +142,41 @@ def test_each_layout_has_its_own_template(spark):
     assert H.choose_layouts([("a\nb", 5), ("a", 1), ("c", 2), ("d\ne", 3)]) == ["a\nb", "d\ne"]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_host_of_many_layouts_has_a_template_for_each(spark, monkeypatch, broadcast):
+    """Six layouts besides 1100 commoner sets of paths of a seventh: the template of all goes and the text of all stays."""
+    monkeypatch.setattr(H, "SLICE", 400)
+    if not broadcast:
+        monkeypatch.setattr(H, "BROADCAST_CHARS", -1)
+        monkeypatch.setattr(H, "fitted", lambda df, row_bytes=64: df)
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    frame = "<body><div class=z{n}><div class=w{n}><div class=u{n}>Welcome to part {n}</div></div><div class=t{n}>Entry {i} stands alone here {j}</div><div class=e{n}>End of part {n}</div></div></body>"
+    crowd = "<body><div class=p><div class=q><div class=r>Hello all</div><div class=s>Story {i} of its own {j}</div></div></div><div class=v{n}>Part {i} of it {j}</div></body>"
+    rows = [(10 * n + i, "http://a.x/", frame.format(n=name(n), i=f"n{n}{i}", j=f"{i * 7} {i * 11 + n}")) for n in range(6) for i in range(3)]
+    rows += [(1000 + 2 * n + i, "http://a.x/", crowd.format(n=name(n), i=f"n{n}{i}", j=n * 13 + i)) for n in range(1100) for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[10 * n + i] == f"Entry n{n}{i} stands alone here {i * 7} {i * 11 + n}" for n in range(6) for i in range(3))
+    assert all(got[1000 + 2 * n + i] == f"Story n{n}{i} of its own {n * 13 + i}\nPart n{n}{i} of it {n * 13 + i}" for n in range(1100) for i in range(2))
+
+
+def test_the_likest_layout_against_all_comparisons():
+    rng = random.Random(7)
+    for trial in range(60):
+        names = [f"{x}" for x in range(rng.choice([4, 12, 40]))]
+        keys = list(dict.fromkeys("\n".join(sorted(rng.sample(names, rng.randint(1, min(len(names), 9))))) for _ in range(80)))
+        share = lambda a, b: len(a & b) / len(a | b)
+        sets, layouts = [set(k.split("\n")) for k in keys[:50]], H.Layouts()
+        for k in keys[:50]:
+            layouts.add(k)
+        for k in [*keys, "unknown", "0\nunknown"]:
+            all_shares = [share(x, set(k.split("\n"))) for x in sets]
+            for least in (0.0, 0.5, 1.0):
+                best = max(all_shares)
+                assert layouts.likest(k, least) == (all_shares.index(best) if best >= least and best > 0 else None), (trial, k, least)
+    assert H.choose_layouts([("a", 2), ("b", 2)]) == ["a"] and H.choose_layouts([(name, 3) for name in "abcdefgh"]) == list("abcdefgh")
+
+
 def test_induction_counts_pages_against_brute_force():
     """A wrapper's constants are the texts that nine tenths of the pages have in the same node."""
     pages = [f"<body><ul><li>a</li><li>b{i % 2}</li></ul><section><p>text {i} of it</p><p>often</p></section></body>" if i else "<body><ul><li>a</li><li>b0</li></ul><section><p>text</p><p>often</p></section></body>" for i in range(20)]
