@@ -595,13 +595,29 @@ def _identified(pages: DataFrame) -> DataFrame:
     return pages.withColumns({"hash": F.xxhash64("html"), "chars": F.length("html")})
 
 
+def _related(counted: DataFrame) -> DataFrame:
+    """``counted`` without sets of paths that cannot matter to the choice of layouts.
+
+    A set of which more than half the paths stand in no other set of its host shares half
+    with none: it is a layout by itself, and of too few pages it matters only where it is
+    the commonest of its host.
+    """
+    size = F.size(F.split("key", "\n"))
+    known = counted.withColumn("id", F.struct(F.xxhash64("host", "key"), F.xxhash64("key", "host")))
+    paths = known.select("id", "host", F.explode(F.split("key", "\n")).alias("path")).select("id", F.xxhash64("host", "path").alias("path"))
+    alone = paths.groupBy("path").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id")).filter("sets = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    marked = cut(known.join(alone, "id", "left").withColumn("single", (2 * F.coalesce("alone", F.lit(0)) > size) & (F.col("pages") < LEAST_PAGES)).drop("id", "alone"))
+    first = marked.filter("single").groupBy("host").agg(F.min(F.struct((-F.col("pages")).alias("less"), "key", "hash", "chars")).alias("x"))
+    return marked.filter("not single").drop("single").union(first.select("host", "x.key", -F.col("x.less"), "x.hash", "x.chars"))
+
+
 def layout_models(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """From rows (host, html): rows (host, layout, model), each host's layouts and the page that stands for each, and the pages' layouts.
 
     The latter are rows (host, hash, chars, layout) of pages that are not of their host's
     layout 0, or None if all are. A host's distinct sets of paths pass through one task,
-    sorted, and leave only the layouts there; which layout is the likest of a set is looked
-    up in slices.
+    sorted, and leave only the layouts there; of more than a slice only those that other
+    sets can be like. Which layout is the likest of a set is looked up in slices.
     """
     ship(__name__)
     keyed_schema = pa.schema([("host", pa.string()), ("key", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())])
@@ -646,14 +662,16 @@ def layout_models(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
     p = _identified(pages)
     keyed = cut(p.select("host", "html", "hash", "chars").mapInArrow(keys, "host string, key string, hash bigint, chars int"))
-    counted = keyed.groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"), F.min(F.struct("hash", "chars")).alias("first"))
-    listed = counted.select("host", "key", "pages", "first.hash", "first.chars").repartition("host").sortWithinPartitions("host", F.desc("pages"), "key")
+    counted = cut(keyed.groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"), F.min(F.struct("hash", "chars")).alias("first")).select("host", "key", "pages", "first.hash", "first.chars"))
+    slices = counted.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    many = (slices.agg(F.max("slices")).first()[0] or 0) > 1
+    listed = (_related(counted) if many else counted).repartition("host").sortWithinPartitions("host", F.desc("pages"), "key")
     leaders = cut(listed.mapInArrow(choose, "host string, layout int, key string, hash bigint, chars int"))
     models = cut(p.join(fitted(leaders.drop("key"), 128), ["host", "hash", "chars"]).groupBy("host", "layout").agg(F.min("html").alias("model")))
     more = leaders.filter("layout > 0").select("host").distinct()
     if more.isEmpty():
         return models, None
-    slices = cut(counted.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).join(more, "host"))
+    slices = cut(slices.join(more, "host"))
     own = counted.join(slices, "host").select("host", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"), F.lit(None).cast("int").alias("layout"), "key")
     its = leaders.join(slices, "host").select("host", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "layout", "key")
     sought = own.union(its).repartition("host", "slice").sortWithinPartitions("host", "slice", F.asc_nulls_last("layout"))

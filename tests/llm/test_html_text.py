@@ -177,6 +177,20 @@ def test_the_likest_layout_against_all_comparisons():
     assert H.choose_layouts([("a", 2), ("b", 2)]) == ["a"] and H.choose_layouts([(name, 3) for name in "abcdefgh"]) == list("abcdefgh")
 
 
+def test_sets_that_are_like_no_other_do_not_matter_to_the_choice(spark):
+    rng = random.Random(11)
+    rows = []
+    for host in range(40):
+        names = [f"n{x}" for x in range(rng.choice([3, 8]))]
+        keys = dict.fromkeys("\n".join(sorted([*rng.sample(names, rng.randint(1, 3)), *(f"own{host}{k}{x}" for x in range(rng.choice([0, 2, 9])))])) for k in range(rng.choice([1, 4, 30])))
+        rows += [(f"h{host}", key, rng.choice([1, 1, 2, 2, 3] if host % 2 else [1, 2]), i, 1) for i, key in enumerate(keys)]
+    left = [tuple(r) for r in H._related(spark.createDataFrame(rows, "host string, key string, pages long, hash long, chars int")).collect()]
+    assert set(left) < set(rows) and len(left) == len(set(left))
+    for host in range(40):
+        every, some = ([(key, pages) for h, key, pages, _, _ in x if h == f"h{host}"] for x in (rows, left))
+        assert H.choose_layouts(some) == H.choose_layouts(every)
+
+
 def test_induction_counts_pages_against_brute_force():
     """A wrapper's constants are the texts that nine tenths of the pages have in the same node."""
     pages = [f"<body><ul><li>a</li><li>b{i % 2}</li></ul><section><p>text {i} of it</p><p>often</p></section></body>" if i else "<body><ul><li>a</li><li>b0</li></ul><section><p>text</p><p>often</p></section></body>" for i in range(20)]
