@@ -32,6 +32,31 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Bytes read for each file that is written, and files for each core at least.
+FILE_BYTES, CORE_FILES = 1_000_000, 2
+
+
+def _files(df: DataFrame) -> int:
+    """The number of files to deal out ``df`` to before it is written, or 0: each task writes its own.
+
+    Where Spark does not merge small partitions, a small table would become a file for each shuffle
+    partition. On a local file system Hadoop launches chmod twice for each file. The tasks that make
+    the rows stay as they are. Rows that a second run of a task could make otherwise (numbers,
+    the first of a group) are not dealt out: a lost executor would mix two runs.
+    """
+    conf = df.sparkSession.conf
+    if all(conf.get(f"spark.sql.adaptive.{k}") == "true" for k in ("enabled", "coalescePartitions.enabled")):
+        return 0
+    query = df._jdf.queryExecution()
+    plan = query.optimizedPlan()
+    if not plan.deterministic() or "Exchange hashpartitioning" not in query.executedPlan().toString():
+        return 0
+    leaves = plan.collectLeaves()
+    read = sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.length()))
+    files = max(CORE_FILES * df.sparkSession.sparkContext.defaultParallelism, -(-read // FILE_BYTES))
+    return files if 2 * files <= int(conf.get("spark.sql.shuffle.partitions")) else 0
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -40,7 +65,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    files = _files(df)
+    (df.repartition(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
