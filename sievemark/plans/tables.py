@@ -40,7 +40,7 @@ def _files(df: DataFrame) -> int:
     """The number of files to deal out ``df`` to before it is written, or 0: each task writes its own.
 
     Where Spark does not merge small partitions, a small table would become a file for each shuffle
-    partition. On a local file system Hadoop launches chmod twice for each file. The tasks that make
+    partition. On a local file system Hadoop launches chmod three times for each file. The tasks that make
     the rows stay as they are. Rows that a second run of a task could make otherwise (numbers,
     the first of a group) are not dealt out: a lost executor would mix two runs.
     """

@@ -108,3 +108,16 @@ def test_sketch_fills_and_estimates():
     assert not (s == np.uint64(0xFFFFFFFFFFFFFFFF)).any()
     assert abs((s[3] == s[4]).mean() - 400 / 600) < 0.1
     assert (M.sketches([sets[2]], 320)[0] == s[2]).all()
+
+
+def test_small_tables_of_a_run_are_few_files(spark, tmp_path, monkeypatch):
+    """Where Spark does not merge small partitions, intermediate tables do not become a file for each of them."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", "64")
+    s.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr("sievemark.plans.tables.shared_dir", lambda _: f"file://{tmp_path}")
+    rows = near_rows(5)
+    got = M.components(s.createDataFrame(rows, "doc_id long, text string"), 2).select(*PLAIN).collect()
+    assert Counter(map(tuple, got)) == brute(rows, 2)
+    tables = [len(list(t.glob("part-*"))) for t in tmp_path.glob("cut-*")]
+    assert len(tables) > 9 and sum(n > 2 * s.sparkContext.defaultParallelism for n in tables) <= 4, tables
